@@ -1,0 +1,5 @@
+"""Intentionally without operators.
+
+Every stage this engine covers is a bounded batch; no operator has streaming
+semantics (no watermark, event-time window or keyed state), so none is added.
+"""
