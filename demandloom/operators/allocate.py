@@ -12,7 +12,7 @@ unit. The best price pair also bounds the optimum, so every result carries its g
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -20,8 +20,9 @@ from demandloom import params as P
 from demandloom.functions.outcomes import fill_rate, with_outcomes
 from demandloom.operators.greedy import GROUPS, greedy_take
 
-GRID = 9           # candidate prices per resource and level
-LEVELS = 5         # refinements, each dividing the price step by four
+GRID = 9           # price levels, and budget shares, per refinement
+LEVELS = 7         # coarse grid and refinements, each halving the steps
+PRICE_RATIOS = [1.0, 0.5, 0.8, 0.9, 0.97, 1.03, 1.1, 1.25, 2.0]  # tried for the final pick
 FREE = 1e300       # rank of a step whose resources cost nothing
 
 
@@ -181,82 +182,114 @@ def expected_cost_ladder(targets: DataFrame) -> DataFrame:
 
 # --- allocation ---------------------------------------------------------------------------------
 
-def _candidates() -> Column:
-    """Price pairs around the current ones, numbered."""
-    half = GRID // 2
-    pairs = []
-    for i in range(GRID):
-        for j in range(GRID):
-            budget_price = F.greatest(F.lit(0.0), F.col("budget_price") + (i - half) * F.col("budget_step"))
-            unit_price = F.greatest(F.lit(0.0), F.col("unit_price") + (j - half) * F.col("unit_step"))
-            pairs.append(F.struct(
-                F.lit(i * GRID + j).alias("number"), budget_price.alias("p_budget"), unit_price.alias("p_unit")
-            ))
-    return F.array(*pairs)
+def _grid(state: DataFrame, coarse: bool) -> DataFrame:
+    """Numbered candidate prices of every group: each price level with each budget share.
+
+    The coarse grid halves the level from the highest useful one down to zero and spans
+    all shares; the others surround the best pair so far.
+    """
+    row, column = F.floor(F.col("number") / GRID), F.col("number") % GRID
+    cells = state.withColumn("number", F.explode(F.sequence(F.lit(0), F.lit(GRID * GRID - 1))))
+    if coarse:
+        level = F.when(row == GRID - 1, F.lit(0.0)).otherwise(F.col("top") / F.pow(F.lit(2.0), row))
+        share = column / (GRID - 1.0)
+    else:
+        half = GRID // 2
+        level = F.greatest(F.lit(0.0), F.col("level") + (row - half) * F.col("level_step"))
+        share = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("share") + (column - half) * F.col("share_step")))
+    return (
+        cells.withColumn("level", level).withColumn("share", share)
+        .withColumn("p_budget", F.col("share") * F.col("level") / F.col("mean_cost"))
+        .withColumn("p_unit", (1.0 - F.col("share")) * F.col("level"))
+    )
 
 
 def price_search(ladder: DataFrame, limits: DataFrame) -> DataFrame:
     """Prices of one budget unit and one capacity unit per group, with the bound they prove.
 
-    For any prices, value of the limits plus the steps' profit over their priced cost is
-    an upper bound of the total gain; the search lowers it. Each level sums a small grid
+    For any prices, the priced value of the limits plus the steps' profit over their
+    priced cost is an upper bound of the total gain; the search lowers it. The two prices
+    trade off against each other along a constant price of an average unit, so the grid
+    runs over that level and the budget's share of it. Each refinement sums a small grid
     of candidates per group, combined before the shuffle, so a group's size is no issue.
     """
-    half = GRID // 2
-    tops = ladder.groupBy("store_id").agg(
+    stores = ladder.groupBy("store_id").agg(
         F.max(F.when(F.col("unit_cost") > 0, F.col("gain") / F.col("unit_cost"))).alias("top_rate"),
         F.max("gain").alias("top_gain"),
+        (F.sum(F.col("units") * F.col("unit_cost")) / F.sum("units")).alias("mean_cost"),
+    ).filter("mean_cost > 0").withColumn("top", F.greatest(F.col("top_rate") * F.col("mean_cost"), "top_gain"))
+    fixed = ["budget_left", "capacity_left", "mean_cost", "top"]
+    cell = ["level", "share", "p_budget", "p_unit"]
+    steps = ["level_step", "share_step"]
+    state = limits.join(stores, "store_id").select(
+        *GROUPS, *fixed, (F.col("top") / 8).alias("level_step"), F.lit(0.5 / (GRID - 1)).alias("share_step")
     )
-    state = limits.join(tops, "store_id", "left").select(
-        *GROUPS, "budget_left", "capacity_left",
-        (F.coalesce("top_rate", F.lit(0.0)) / 2).alias("budget_price"),
-        (F.coalesce("top_rate", F.lit(0.0)) / (2 * half)).alias("budget_step"),
-        (F.coalesce("top_gain", F.lit(0.0)) / 2).alias("unit_price"),
-        (F.coalesce("top_gain", F.lit(0.0)) / (2 * half)).alias("unit_step"),
-    )
-    keys = [*GROUPS, "budget_left", "capacity_left", "budget_step", "unit_step"]
-    for _ in range(LEVELS):
-        options = state.select(*keys, F.inline(_candidates()))
-        per_store = options.groupBy("store_id").agg(F.collect_list(F.struct("scenario", "number", "p_budget", "p_unit")).alias("options"))
-        profit = F.greatest(F.lit(0.0), F.col("gain") - F.col("p_budget") * F.col("unit_cost") - F.col("p_unit"))
-        profits = (
-            ladder.join(per_store, "store_id")
-            .select("store_id", "gain", "unit_cost", "units", F.inline("options"))
-            .groupBy(*GROUPS, "number").agg(F.sum(F.col("units") * profit).alias("profit"))
+    profit = F.greatest(F.lit(0.0), F.col("gain") - F.col("p_budget") * F.col("unit_cost") - F.col("p_unit"))
+    bound = F.col("p_budget") * F.col("budget_left") + F.col("p_unit") * F.col("capacity_left") + F.col("profit")
+    best = F.struct(F.round("gain_bound", 6), F.col("number"))
+    for number in range(LEVELS):
+        # A store has a fixed number of candidates (scenarios times grid cells): one row
+        # carries them to its steps, so this is the only use of the previous state.
+        columns = ["scenario", "number", *fixed, *cell, *steps]
+        options = _grid(state, coarse=number == 0).groupBy("store_id").agg(
+            F.collect_list(F.struct(*columns)).alias("options")
         )
-        scored = options.join(profits, [*GROUPS, "number"], "left").withColumn(
-            "bound",
-            F.col("p_budget") * F.col("budget_left") + F.col("p_unit") * F.col("capacity_left")
-            + F.coalesce("profit", F.lit(0.0)),
+        scored = (
+            ladder.join(options, "store_id")
+            .select("store_id", "gain", "unit_cost", "units", F.inline("options"))
+            .groupBy(*GROUPS, "number")
+            .agg(F.sum(F.col("units") * profit).alias("profit"), *[F.first(c).alias(c) for c in columns[2:]])
+            .withColumn("gain_bound", bound)
         )
-        best = F.struct(F.round("bound", 6), F.col("number"))
-        state = scored.groupBy(*keys).agg(
-            F.min_by("p_budget", best).alias("budget_price"), F.min_by("p_unit", best).alias("unit_price"),
-            F.min_by("bound", best).alias("gain_bound"),
-        ).select(
-            *GROUPS, "budget_left", "capacity_left", "budget_price", "unit_price", "gain_bound",
-            (F.col("budget_step") / 4).alias("budget_step"), (F.col("unit_step") / 4).alias("unit_step"),
+        state = scored.groupBy(*GROUPS).agg(
+            *[F.min_by(c, best).alias(c) for c in [*cell, "gain_bound"]],
+            *[F.first(c).alias(c) for c in [*fixed, *steps]],
         )
-    return state.select(*GROUPS, "budget_left", "capacity_left", "budget_price", "unit_price", "gain_bound")
+        if number:
+            state = state.withColumns({c: F.col(c) / 2 for c in steps})
+        else:
+            state = state.withColumn(
+                "level_step", F.greatest(F.col("level") / 8, F.col("top") / 2.0 ** (GRID + 1)))
+    return state.select(
+        *GROUPS, "budget_left", "capacity_left", F.col("p_budget").alias("budget_price"),
+        F.col("p_unit").alias("unit_price"), "gain_bound",
+    )
 
 
-def allocate_by_price(targets: DataFrame, limits: DataFrame, ladder: DataFrame, freeze_with, **greedy) -> tuple[DataFrame, DataFrame]:
+def allocate_by_price(
+    targets: DataFrame, limits: DataFrame, ladder: DataFrame, objective: Callable[[Column], Column],
+    freeze_with: Callable[[DataFrame], DataFrame], **greedy,
+) -> tuple[DataFrame, DataFrame]:
     """(allocation per scenario and series, prices and bound per group).
 
     Above the guaranteed minimum, steps are taken by gain per priced unit while they fit.
+    Whole units make nearby prices differ a little, so a few ratios of the two prices are
+    tried side by side as groups of their own, and the best result of a group is kept.
     """
-    base = in_scenarios(targets).select(
-        *GROUPS, "item_id", "unit_purchase_cost", minimum_order().alias("granted")
-    )
+    base = in_scenarios(targets).withColumn("granted", minimum_order())
     ladder = freeze_with(ladder)
-    prices = freeze_with(price_search(ladder, left_after(limits, base)))
-    priced_cost = F.col("budget_price") * F.col("unit_cost") + F.col("unit_price")
-    steps = ladder.join(prices, "store_id").select(
-        *GROUPS, "item_id", "segment", "unit_cost", "units",
+    left = left_after(limits, base)
+    prices = freeze_with(price_search(ladder, left))
+    ratios = F.array(*[
+        F.struct(F.lit(str(k)).alias("variant"), F.lit(r).alias("ratio")) for k, r in enumerate(PRICE_RATIOS)
+    ])
+    variants = prices.select("*", F.inline(ratios))
+    priced_cost = F.col("budget_price") * F.col("ratio") * F.col("unit_cost") + F.col("unit_price")
+    steps = ladder.join(variants, "store_id").select(
+        *GROUPS, "variant", "item_id", "segment", "unit_cost", "units",
         F.when(priced_cost > 0, F.col("gain") / priced_cost).otherwise(F.lit(FREE)).alias("rank_value"),
     )
-    taken = greedy_take(steps, prices.select(*GROUPS, "budget_left", "capacity_left"), **greedy)
-    allocation = base.join(taken, [*GROUPS, "item_id"], "left").select(
+    groups = [*GROUPS, "variant"]
+    taken = freeze_with(greedy_take(steps, variants.select(*groups, "budget_left", "capacity_left"), groups=groups, **greedy))
+    quantity = F.col("granted") + F.col("taken")
+    saved = taken.join(base, [*GROUPS, "item_id"]).groupBy(*groups).agg(
+        F.sum(objective(F.col("granted")) - objective(quantity)).alias("saved")
+    )
+    chosen = saved.groupBy(*GROUPS).agg(
+        F.max_by("variant", F.struct(F.round("saved", 6), -F.col("variant").cast("int"))).alias("variant")
+    )
+    best = taken.join(chosen, groups, "left_semi").select(*GROUPS, "item_id", "taken")
+    allocation = base.join(best, [*GROUPS, "item_id"], "left").select(
         *GROUPS, "item_id",
         (F.col("granted") + F.coalesce("taken", F.lit(0))).cast("long").alias("allocated_order_quantity"),
     )
@@ -397,21 +430,27 @@ def diagnostics(
         F.max("budget_limit").alias("budget_limit"), F.max("capacity_limit").alias("capacity_limit"),
     )
     bound = F.greatest(F.lit(0.0), F.col("at_minimum") - F.col("gain_bound"))
-    return sums.join(prices.select(*GROUPS, "gain_bound"), GROUPS).select(
+    # A group without a useful step has no prices and nothing to gain.
+    priced = sums.join(prices.select(*GROUPS, "gain_bound"), GROUPS, "left").withColumn(
+        "gain_bound", F.coalesce("gain_bound", F.lit(0.0))
+    )
+    return priced.select(
         *GROUPS,
         ((F.col("allocated_spend") <= F.col("budget_limit") + 1e-5)
          & (F.col("allocated_units") <= F.col("capacity_limit"))).alias("feasible"),
         name, "allocated_units", "allocated_spend", "budget_limit", "capacity_limit",
         bound.alias("objective_bound"),
-        (F.try_divide(F.col(name) - bound, F.col(name)) * 100).alias("gap_percent"),
+        F.round(F.try_divide(F.col(name) - bound, F.col(name)) * 100, 6).alias("gap_percent"),
     )
 
 
+def shortfall(quantity: Column) -> Column:
+    return F.col("priority_weight") * (F.col("target_order_quantity") - quantity)
+
+
 def shortfall_diagnostics(allocations: DataFrame, prices: DataFrame) -> DataFrame:
-    target, weight = F.col("target_order_quantity"), F.col("priority_weight")
     return diagnostics(
-        allocations, prices, weight * (target - F.col("allocated_order_quantity")),
-        weight * (target - minimum_order()), "objective_value",
+        allocations, prices, shortfall(F.col("allocated_order_quantity")), shortfall(minimum_order()), "objective_value"
     )
 
 

@@ -57,7 +57,7 @@ def _affordable(rows: DataFrame, limits: DataFrame, groups: Sequence[str]) -> Da
 
 
 def _order() -> list:
-    return [F.desc("rank_value"), F.asc("item_id"), F.asc("segment")]
+    return [F.desc("rank_value"), F.asc("unit_cost"), F.asc("item_id"), F.asc("segment")]
 
 
 def greedy_take(
@@ -66,7 +66,7 @@ def greedy_take(
 ) -> DataFrame:
     """Units taken per group and item.
 
-    rows: groups, item_id, segment, rank_value (higher first), unit_cost, units.
+    rows: groups, item_id, segment, rank_value (higher first, then lower cost), unit_cost, units.
     limits: groups, budget_left, capacity_left.
     one_by_one: give one unit per visit and repeat rounds, instead of all units at once.
     """
@@ -96,7 +96,9 @@ def _finish(open_rows: DataFrame, one_by_one: bool, groups: Sequence[str]) -> Da
     groups = list(groups)
 
     def finish(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["rank_value", "item_id", "segment"], ascending=[False, True, True])
+        group = group.sort_values(
+            ["rank_value", "unit_cost", "item_id", "segment"], ascending=[False, True, True, True]
+        )
         taken = _fold(
             group["unit_cost"].tolist(), group["units"].tolist(), group["unvisited"].tolist(),
             float(group["budget_left"].iloc[0]), int(group["capacity_left"].iloc[0]), one_by_one,

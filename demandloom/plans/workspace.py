@@ -182,18 +182,18 @@ class Allocation:
     def limits(self) -> DataFrame:
         return materialise(allocate.resource_limits(self.targets), "limits")
 
-    def _by_price(self, ladder: DataFrame, method: str) -> tuple[DataFrame, DataFrame]:
-        allocation, prices = allocate.allocate_by_price(self.targets, self.limits, ladder, freeze)
+    def _by_price(self, ladder: DataFrame, objective, method: str) -> tuple[DataFrame, DataFrame]:
+        allocation, prices = allocate.allocate_by_price(self.targets, self.limits, ladder, objective, freeze)
         rows = allocate.allocation_outcomes(self.targets, self.limits, allocation, method)
         return materialise(rows, method), prices
 
     @cached_property
     def _shortfall(self) -> tuple[DataFrame, DataFrame]:
-        return self._by_price(allocate.shortfall_ladder(self.targets), P.SHORTFALL)
+        return self._by_price(allocate.shortfall_ladder(self.targets), allocate.shortfall, P.SHORTFALL)
 
     @cached_property
     def _expected(self) -> tuple[DataFrame, DataFrame]:
-        return self._by_price(allocate.expected_cost_ladder(self.targets), P.EXPECTED_COST)
+        return self._by_price(allocate.expected_cost_ladder(self.targets), allocate.expected_cost, P.EXPECTED_COST)
 
     @property
     def shortfall(self) -> DataFrame:
