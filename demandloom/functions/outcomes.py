@@ -37,7 +37,11 @@ def with_outcomes(df: DataFrame, ordered: str, total: str) -> DataFrame:
 
 
 def rounded(df: DataFrame, digits: int) -> DataFrame:
-    """Round every double column."""
+    """Round every double column for display.
+
+    Half-way cases are nudged up, so that the result does not depend on which side the
+    binary value of a decimal fraction falls.
+    """
     return df.select(*[
-        F.round(name, digits).alias(name) if kind == "double" else F.col(name) for name, kind in df.dtypes
+        F.round(F.col(name) + 1e-9, digits).alias(name) if kind == "double" else F.col(name) for name, kind in df.dtypes
     ])

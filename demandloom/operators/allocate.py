@@ -189,7 +189,6 @@ def _grid(state: DataFrame, coarse: bool) -> DataFrame:
     all shares; the others surround the best pair so far.
     """
     row, column = F.floor(F.col("number") / GRID), F.col("number") % GRID
-    cells = state.withColumn("number", F.explode(F.sequence(F.lit(0), F.lit(GRID * GRID - 1))))
     if coarse:
         level = F.when(row == GRID - 1, F.lit(0.0)).otherwise(F.col("top") / F.pow(F.lit(2.0), row))
         share = column / (GRID - 1.0)
@@ -197,13 +196,19 @@ def _grid(state: DataFrame, coarse: bool) -> DataFrame:
         half = GRID // 2
         level = F.greatest(F.lit(0.0), F.col("level") + (row - half) * F.col("level_step"))
         share = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("share") + (column - half) * F.col("share_step")))
-    return (
-        cells.withColumn("level", level).withColumn("share", share)
-        .withColumn("p_budget", F.col("share") * F.col("level") / F.col("mean_cost"))
-        .withColumn("p_unit", (1.0 - F.col("share")) * F.col("level"))
+    kept = [*GROUPS, *_FIXED, *_STEPS]
+    cells = state.select("*", F.explode(F.sequence(F.lit(0), F.lit(GRID * GRID - 1))).alias("number"))
+    return cells.select(*kept, "number", level.alias("level"), share.alias("share")).select(
+        *kept, "number", "level", "share",
+        (F.col("share") * F.col("level") / F.col("mean_cost")).alias("p_budget"),
+        ((1.0 - F.col("share")) * F.col("level")).alias("p_unit"),
     )
 
 
+_FIXED = ["budget_left", "capacity_left", "mean_cost", "top"]
+_STEPS = ["level_step", "share_step"]
+
+
 def price_search(ladder: DataFrame, limits: DataFrame) -> DataFrame:
     """Prices of one budget unit and one capacity unit per group, with the bound they prove.
 
@@ -218,11 +223,9 @@ def price_search(ladder: DataFrame, limits: DataFrame) -> DataFrame:
         F.max("gain").alias("top_gain"),
         (F.sum(F.col("units") * F.col("unit_cost")) / F.sum("units")).alias("mean_cost"),
     ).filter("mean_cost > 0").withColumn("top", F.greatest(F.col("top_rate") * F.col("mean_cost"), "top_gain"))
-    fixed = ["budget_left", "capacity_left", "mean_cost", "top"]
     cell = ["level", "share", "p_budget", "p_unit"]
-    steps = ["level_step", "share_step"]
     state = limits.join(stores, "store_id").select(
-        *GROUPS, *fixed, (F.col("top") / 8).alias("level_step"), F.lit(0.5 / (GRID - 1)).alias("share_step")
+        *GROUPS, *_FIXED, (F.col("top") / 8).alias("level_step"), F.lit(0.5 / (GRID - 1)).alias("share_step")
     )
     profit = F.greatest(F.lit(0.0), F.col("gain") - F.col("p_budget") * F.col("unit_cost") - F.col("p_unit"))
     bound = F.col("p_budget") * F.col("budget_left") + F.col("p_unit") * F.col("capacity_left") + F.col("profit")
@@ -230,7 +233,7 @@ def price_search(ladder: DataFrame, limits: DataFrame) -> DataFrame:
     for number in range(LEVELS):
         # A store has a fixed number of candidates (scenarios times grid cells): one row
         # carries them to its steps, so this is the only use of the previous state.
-        columns = ["scenario", "number", *fixed, *cell, *steps]
+        columns = ["scenario", "number", *_FIXED, *cell, *_STEPS]
         options = _grid(state, coarse=number == 0).groupBy("store_id").agg(
             F.collect_list(F.struct(*columns)).alias("options")
         )
@@ -239,17 +242,20 @@ def price_search(ladder: DataFrame, limits: DataFrame) -> DataFrame:
             .select("store_id", "gain", "unit_cost", "units", F.inline("options"))
             .groupBy(*GROUPS, "number")
             .agg(F.sum(F.col("units") * profit).alias("profit"), *[F.first(c).alias(c) for c in columns[2:]])
-            .withColumn("gain_bound", bound)
+            .select("*", bound.alias("gain_bound"))
         )
-        state = scored.groupBy(*GROUPS).agg(
+        found = scored.groupBy(*GROUPS).agg(
             *[F.min_by(c, best).alias(c) for c in [*cell, "gain_bound"]],
-            *[F.first(c).alias(c) for c in [*fixed, *steps]],
+            *[F.first(c).alias(c) for c in [*_FIXED, *_STEPS]],
+        )
+        level_step = (
+            F.col("level_step") / 2 if number
+            else F.greatest(F.col("level") / 8, F.col("top") / 2.0 ** (GRID + 1))
+        )
+        share_step = F.col("share_step") / 2 if number else F.col("share_step")
+        state = found.select(
+            *GROUPS, *_FIXED, *cell, "gain_bound", level_step.alias("level_step"), share_step.alias("share_step")
         )
-        if number:
-            state = state.withColumns({c: F.col(c) / 2 for c in steps})
-        else:
-            state = state.withColumn(
-                "level_step", F.greatest(F.col("level") / 8, F.col("top") / 2.0 ** (GRID + 1)))
     return state.select(
         *GROUPS, "budget_left", "capacity_left", F.col("p_budget").alias("budget_price"),
         F.col("p_unit").alias("unit_price"), "gain_bound",
