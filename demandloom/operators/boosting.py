@@ -120,7 +120,11 @@ def _flatten(model, leaf_values: dict[int, float], categories: int) -> dict[str,
 
 
 def fit_pooled_model(training: DataFrame, settings: BoostingParams = BoostingParams()) -> tuple[Forest, list[float]]:
-    """Fit the pooled model; also returns the training loss after every round."""
+    """Fit the pooled model; also returns the training loss after every round.
+
+    The loss of a round comes with the leaf sums of the next one, so a round is the
+    tree's own jobs plus one aggregate.
+    """
     levels = level_lists(category_levels(training, settings.max_bins))
     if not all(levels.values()):
         raise ValueError("no training rows")
@@ -131,20 +135,25 @@ def fit_pooled_model(training: DataFrame, settings: BoostingParams = BoostingPar
         raise ValueError("training demand is zero")
     start = math.log(mean)
     widest = max(len(v) for v in levels.values())
-    state = rows.withColumn("score", F.lit(start)).persist()
-    trees, losses = [], []
+    state = _spread(rows).withColumn("score", F.lit(start)).persist()
+    trees, losses, previous = [], [], None
+    rate = F.exp("score")
+    loss = F.sum(rate - F.col("demand") * F.col("score")).alias("loss")
     for number in range(1, settings.rounds + 1):
-        rate = F.exp("score")
         working = state.withColumn("weight", rate).withColumn("response", (F.col("demand") - rate) / rate)
         tree = DecisionTreeRegressor(
             featuresCol="features", labelCol="response", weightCol="weight", leafCol="leaf",
             maxDepth=settings.max_depth, maxBins=max(settings.max_bins, widest),
             minInstancesPerNode=settings.min_leaf_rows, seed=settings.seed,
         ).fit(working)
+        if previous is not None:
+            previous.unpersist()
         placed = tree.transform(working)
         sums = placed.groupBy("leaf").agg(
             F.sum(F.col("demand") - F.col("weight")).alias("gradient"), F.sum("weight").alias("hessian"),
+            loss, F.count(F.lit(1)).alias("rows"),
         ).collect()  # one row per leaf
+        losses.append(sum(r["loss"] for r in sums) / sum(r["rows"] for r in sums))
         values = {int(r["leaf"]): r["gradient"] / (r["hessian"] + settings.l2) for r in sums}
         trees.append(_flatten(tree, values, widest))
         table = F.array(*[F.lit(float(values.get(k, 0.0))) for k in range(max(values) + 1)])
@@ -152,12 +161,17 @@ def fit_pooled_model(training: DataFrame, settings: BoostingParams = BoostingPar
         following = placed.select("features", "demand", (F.col("score") + step).alias("score"))
         if number % settings.checkpoint_every == 0:
             following = freeze(following)
-        following = following.persist()
-        losses.append(following.agg(F.avg(F.exp("score") - F.col("demand") * F.col("score"))).first()[0])
-        state.unpersist()
-        state = following
-    state.unpersist()
-    return Forest(start, settings.learning_rate, levels, trees), losses
+        previous, state = state, following.persist()
+    losses.append(state.agg(F.sum(rate - F.col("demand") * F.col("score")) / F.count(F.lit(1))).first()[0])
+    for df in (previous, state):
+        df.unpersist()
+    return Forest(start, settings.learning_rate, levels, trees), losses[1:]
+
+
+def _spread(rows: DataFrame) -> DataFrame:
+    """Use every core when the table was read as fewer partitions than there are cores."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 # --- persistence as tables ---------------------------------------------------------------------
