@@ -56,10 +56,10 @@ def with_day_number(sales: DataFrame) -> DataFrame:
 
 
 def sales_calendar(raw_calendar: DataFrame, sales: DataFrame) -> DataFrame:
-    """Calendar rows whose day occurs in the sales."""
+    """Calendar rows whose day occurs in the sales; days are made distinct before the join."""
     return (
         raw_calendar.withColumnRenamed("d", "day_id").withColumn("date", F.to_date("date"))
-        .join(sales.select("day_id"), "day_id", "left_semi")
+        .join(sales.select("day_id").distinct(), "day_id", "left_semi")
     )
 
 

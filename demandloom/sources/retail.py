@@ -40,15 +40,8 @@ EVENTS = [
 ]
 
 
-def store_lookup(spark: SparkSession, folder: str, grain: Grain) -> DataFrame:
-    """s_suppkey -> store_id, state_id."""
-    suppliers = scan_filtered(spark, folder, "supplier", ["s_suppkey", "s_nationkey"])
-    return suppliers.join(
-        places(spark, folder, grain), suppliers.s_nationkey == F.col("n_nationkey")
-    ).select("s_suppkey", "store_id", "state_id")
-
-
 def places(spark: SparkSession, folder: str, grain: Grain) -> DataFrame:
+    """n_nationkey -> store_id, state_id."""
     nations = scan_filtered(spark, folder, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     regions = scan_filtered(spark, folder, "region", ["r_regionkey", "r_name"])
     name = F.col("r_name") if grain.store == "region" else F.col("n_name")
@@ -81,11 +74,14 @@ def daily_totals(spark: SparkSession, folder: str, grain: Grain) -> DataFrame:
     lines = scan_filtered(
         spark, folder, "lineitem", ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
     )
+    suppliers = scan_filtered(spark, folder, "supplier", ["s_suppkey", "s_nationkey"])
     items = item_lookup(spark, folder, grain).select("p_partkey", "item_id")
-    stores = store_lookup(spark, folder, grain).select("s_suppkey", "store_id")
+    stores = places(spark, folder, grain).select("n_nationkey", "store_id")
+    # One table per join, so that each side's size is its file size and not a guess.
     return (
-        lines.join(stores, lines.l_suppkey == stores.s_suppkey)
+        lines.join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
         .join(items, lines.l_partkey == items.p_partkey)
+        .join(stores, F.col("s_nationkey") == stores.n_nationkey)
         .groupBy("store_id", "item_id", F.to_date("l_shipdate").alias("date"))
         .agg(
             F.sum("l_quantity").cast("long").alias("units"),
