@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from demandloom.llm.jaccard import jaccard_join
+from demandloom.llm.pii import pii_digest
+from demandloom.llm.quality_rules import quality_rules
 from demandloom.llm.substring import substring_dedup
 from demandloom.llm.tables import read
 
@@ -18,3 +21,18 @@ def query(function):
 @query
 def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup(read(spark, folder, "documents"))
+
+
+@query
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules(read(spark, folder, "documents")).drop("failed_rule")
+
+
+@query
+def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii_digest(read(spark, folder, "documents"))
+
+
+@query
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join(read(spark, folder, "documents"))
