@@ -55,11 +55,19 @@ def _passes(kind: str, match: Column) -> Column:
     return {
         "email": F.lit(True),
         "ip": match.rlike(rf"^(?:{OCTET}\.){{3}}{OCTET}$"),
-        "card": F.length(digits).between(13, 19) & F.luhn_check(digits),
+        "card": F.length(digits).between(13, 19) & F.call_function("luhn_check", digits),
         "phone": F.length(digits).between(9, 15),
     }[kind]
 
 
+def _test(kind: str):
+    return lambda span: _passes(kind, span["match"])
+
+
+def _is(kind: str):
+    return lambda span: span["kind"] == kind
+
+
 def _last_words(part: Column, count: int) -> Column:
     words = F.filter(F.split(F.lower(F.right(part, F.lit(80))), WORD_GAP), lambda w: w != "")
     return F.concat_ws(" ", F.slice(words, F.greatest(F.size(words) - (count - 1), F.lit(1)), F.lit(count)))
@@ -106,7 +114,7 @@ def with_spans(docs: DataFrame) -> DataFrame:
         rows = rows.withColumn(f"{kind}_p", F.when(F.size(f"{kind}_m") > 0, F.split("text", pattern, -1)))
     for kind in formats:
         rows = rows.withColumn(f"{kind}_s", _spans(F.col(f"{kind}_p"), F.col(f"{kind}_m"), kind))
-    base = F.concat(*[F.filter(f"{k}_s", lambda s, k=k: _passes(k, s["match"])) for k in KINDS])
+    base = F.concat(*[F.filter(f"{k}_s", _test(k)) for k in KINDS])
     rows = rows.select("doc_id", base.alias("base"), "token_s")
     free = F.filter("token_s", lambda s: (F.length(s["match"]) >= MIN_IDENTIFIER) & ~F.exists(
         "base", lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])
@@ -164,9 +172,9 @@ def personal_spans(docs: DataFrame) -> DataFrame:
 def _listed(spans: Column) -> Column:
     """kind:start:end, by kind and start."""
     return F.concat_ws(",", *[
-        F.when(F.exists(spans, lambda s, k=k: s["kind"] == k), F.concat_ws(",", F.transform(
-            F.array_sort(F.transform(F.filter(spans, lambda s, k=k: s["kind"] == k), lambda s: F.struct(s["start"], s["end"]))),
-            lambda s, k=k: F.concat_ws(":", F.lit(k), s["start"].cast("string"), s["end"].cast("string")),
+        F.when(F.exists(spans, _is(k)), F.concat_ws(",", F.transform(
+            F.array_sort(F.transform(F.filter(spans, _is(k)), lambda s: F.struct(s["start"], s["end"], s["kind"]))),
+            lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")),
         ))) for k in KINDS
     ])
 
@@ -174,7 +182,7 @@ def _listed(spans: Column) -> Column:
 def pii_digest(docs: DataFrame) -> DataFrame:
     """Counts, digest of the base spans, and all spans of each document."""
     found = personal_spans(docs)
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    counts = [F.size(F.filter("base", _is(k))).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select(
         "doc_id", *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
         _listed(F.concat("base", "added")).alias("spans"),
