@@ -17,13 +17,13 @@ so a frequent context or identifier costs one row per task; the joins have one r
 on one side, and Spark splits hot keys of the other.
 
 Defined cases: null text counts as empty. Every row gets a row, also when doc_id is null or
-repeats (found spans are joined by doc_id and span text, so repeated rows with different
-texts may only miss what the bootstrap adds). Other columns are ignored.
+repeats. Where spans of two kinds overlap, the mask is the kind of the one that starts
+first. Other columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from demandloom.llm.words import WORD_GAP
 from demandloom.sources.storage import freeze, materialise
@@ -41,7 +41,7 @@ FORMATS = {
 }
 NEEDS = {"email": r"@", "ip": r"\.", "card": r"[0-9]", "phone": r"\+"}
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
-IDENTIFIER = r"(?<![A-Za-z0-9@._+-])[A-Za-z@._+-]*+[0-9][A-Za-z0-9@._+-]*+"
+IDENTIFIER = r"(?<![A-Za-z0-9@._+-])(?=[A-Za-z0-9@._+-]{5})[A-Za-z@._+-]*+[0-9][A-Za-z0-9@._+-]*+"
 MIN_IDENTIFIER = 5
 
 ROUNDS = 3
@@ -60,10 +60,6 @@ def _passes(kind: str, match: Column) -> Column:
     }[kind]
 
 
-def _test(kind: str):
-    return lambda span: _passes(kind, span["match"])
-
-
 def _is(kind: str):
     return lambda span: span["kind"] == kind
 
@@ -77,57 +73,57 @@ def _first_word(part: Column) -> Column:
     return F.regexp_extract(F.lower(F.left(part, F.lit(80))), r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)", 1)
 
 
-def _found(text: Column, pattern: str) -> tuple[Column, Column]:
-    """Parts between the matches, and the matches."""
-    return F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+def matches(docs: DataFrame) -> DataFrame:
+    """row, doc_id, text_hash, found: every match of every format with the length of the gap before it."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    found = texts
+    for kind, pattern in (FORMATS | {"token": IDENTIFIER}).items():
+        all_of = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
+        found = found.withColumn(f"{kind}_m", F.when(F.col("text").rlike(NEEDS.get(kind, "[0-9]")), all_of))
+        found = found.withColumn(f"{kind}_p", F.when(F.size(f"{kind}_m") > 0, F.split("text", pattern, -1)))
+    listed = []
+    for kind in [*FORMATS, "token"]:
+        part = lambda i, kind=kind: F.get(F.col(f"{kind}_p"), i)
+        listed.append(F.coalesce(F.transform(f"{kind}_m", _described(kind, part)), F.expr(f"cast(array() as array<struct<{MATCH}>>)")))
+    return found.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"), F.concat(*listed).alias("found"),
+    )
+
 
+MATCH = "kind: string, place: int, gap: int, match: string, context: string"
 
-def _spans(parts: Column, matches: Column, kind: str) -> Column:
-    """kind, start, end, match and context of each match."""
-    def step(done: Column, i: Column) -> Column:
-        match = F.get(matches, i)
-        start = done["at"] + F.length(F.get(parts, i))
-        span = F.struct(
-            F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(match)).alias("end"), match.alias("match"),
-            F.concat_ws("|", _last_words(F.get(parts, i), 2), _first_word(F.get(parts, i + 1))).alias("context"),
-        )
-        return F.struct((start + F.length(match)).alias("at"), F.concat(done["spans"], F.array(span)).alias("spans"))
 
-    nothing = F.expr("cast(array() as array<struct<kind: string, start: int, end: int, match: string, context: string>>)")
-    found = F.aggregate(
-        F.sequence(F.lit(0), F.size(matches) - 1), F.struct(F.lit(0).alias("at"), nothing.alias("spans")),
-        step, lambda done: done["spans"],
+def _described(kind: str, part):
+    return lambda match, i: F.struct(
+        F.lit(kind).alias("kind"), i.alias("place"), F.length(part(i)).alias("gap"), match.alias("match"),
+        F.concat_ws("|", _last_words(part(i), 2), _first_word(part(i + 1))).alias("context"),
     )
-    return F.when(F.size(matches) > 0, found).otherwise(nothing)
 
 
-def with_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, base (array of spans by kind and start), and tokens: identifier-like ones outside them."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    formats = FORMATS | {"token": IDENTIFIER}
-    rows = texts
-    for kind, pattern in formats.items():
-        needed = F.col("text").rlike(NEEDS.get(kind, "[0-9]"))
-        none = F.expr("cast(array() as array<string>)")
-        rows = rows.withColumn(f"{kind}_m", F.when(needed, _found(F.col("text"), pattern)[1]).otherwise(none))
-    for kind, pattern in formats.items():
-        rows = rows.withColumn(f"{kind}_p", F.when(F.size(f"{kind}_m") > 0, F.split("text", pattern, -1)))
-    for kind in formats:
-        rows = rows.withColumn(f"{kind}_s", _spans(F.col(f"{kind}_p"), F.col(f"{kind}_m"), kind))
-    base = F.concat(*[F.filter(f"{k}_s", _test(k)) for k in KINDS])
-    rows = rows.select("doc_id", base.alias("base"), "token_s")
-    free = F.filter("token_s", lambda s: (F.length(s["match"]) >= MIN_IDENTIFIER) & ~F.exists(
-        "base", lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])
-    ))
-    return rows.select("doc_id", "base", free.alias("tokens"))
+def spans_of(found: DataFrame) -> DataFrame:
+    """row, kind, start, end, match, context of base spans, and of tokens that none of them touches."""
+    upto = Window.partitionBy("row", "kind").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    size = F.length("match")
+    placed = found.select("row", F.inline("found")).withColumn("end", F.sum(F.col("gap") + size).over(upto)).withColumn("start", F.col("end") - size)
+    passed = F.lit(False)
+    for kind in KINDS:
+        passed = F.when(F.col("kind") == kind, _passes(kind, F.col("match"))).otherwise(passed)
+    passed = F.when(F.col("kind") == "token", size >= MIN_IDENTIFIER).otherwise(passed)
+    base = F.col("kind") != "token"
+    before = Window.partitionBy("row").orderBy("start", F.col("end").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    after = Window.partitionBy("row").orderBy("start", F.col("end").desc()).rowsBetween(0, Window.unboundedFollowing)
+    clear = (F.coalesce(F.max(F.when(base, F.col("end"))).over(before), F.lit(0)) <= F.col("start")) & (
+        F.coalesce(F.min(F.when(base, F.col("start"))).over(after), F.col("end")) >= F.col("end")
+    )
+    return placed.filter(passed).withColumn("free", clear).filter(base | F.col("free")).select(
+        "row", "kind", F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), "match", "context",
+    )
 
 
 def believed(spans: DataFrame) -> DataFrame:
     """instance, kind: tokens that enough trusted patterns point to."""
     edges = materialise(
-        spans.select(F.explode(F.concat("base", "tokens")).alias("s"))
-        .select(F.col("s.match").alias("instance"), F.col("s.kind").alias("kind"), F.col("s.context").alias("context"))
-        .groupBy("context", "instance", "kind").agg(F.count(F.lit(1)).alias("times")),
+        spans.select("context", F.col("match").alias("instance"), "kind").groupBy("context", "instance", "kind").agg(F.count(F.lit(1)).alias("times")),
         "pii-edges",
     )
     tokens = edges.filter("kind = 'token'").select("context", "instance")
@@ -155,49 +151,37 @@ def believed(spans: DataFrame) -> DataFrame:
 
 
 def personal_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, base and added spans of every document."""
-    spans = materialise(with_spans(docs).withColumn("row", F.monotonically_increasing_id()), "pii-spans")
-    added = (
-        spans.select("row", F.explode("tokens").alias("s"))
-        .join(believed(spans), F.col("s.match") == F.col("instance"))
-        .groupBy("row").agg(F.sort_array(F.collect_list(F.struct(
-            F.col("kind"), F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.col("s.match").alias("match"), F.col("s.context").alias("context"),
-        ))).alias("added"))
-    )
-    return spans.join(added, "row", "left").select(
-        "row", "doc_id", "base", F.coalesce("added", F.expr("filter(base, s -> false)")).alias("added")
-    )
+    """doc_id, text_hash and spans (kind, start, end, added; by kind as listed and start) of every document."""
+    found = materialise(matches(docs), "pii-matches")
+    spans = materialise(spans_of(found), "pii-spans")
+    added = spans.filter("kind = 'token'").drop("kind").join(believed(spans), F.col("match") == F.col("instance"))
+    columns = ["row", "kind", "start", "end"]
+    both = spans.filter("kind != 'token'").select(*columns, F.lit(False).alias("added")).unionByName(added.select(*columns, F.lit(True).alias("added")))
+    order = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
+    listed = both.groupBy("row").agg(F.sort_array(F.collect_list(F.struct(order.alias("order"), "start", "end", "kind", "added"))).alias("spans"))
+    return found.select("row", "doc_id", "text_hash").join(listed, "row", "left").drop("row")
 
 
 def _listed(spans: Column) -> Column:
-    """kind:start:end, by kind and start."""
-    return F.concat_ws(",", *[
-        F.when(F.exists(spans, _is(k)), F.concat_ws(",", F.transform(
-            F.array_sort(F.transform(F.filter(spans, _is(k)), lambda s: F.struct(s["start"], s["end"], s["kind"]))),
-            lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")),
-        ))) for k in KINDS
-    ])
+    """kind:start:end, joined by commas."""
+    return F.coalesce(F.concat_ws(",", F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    )), F.lit(""))
 
 
 def pii_digest(docs: DataFrame) -> DataFrame:
-    """Counts, digest of the base spans, and all spans of each document."""
-    found = personal_spans(docs)
-    counts = [F.size(F.filter("base", _is(k))).cast("long").alias(f"n_{k}") for k in KINDS]
-    return found.select(
-        "doc_id", *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
-        _listed(F.concat("base", "added")).alias("spans"),
-    )
+    """Counts and digest of the base spans, and all spans, of each document."""
+    found = personal_spans(docs).withColumn("base", F.filter("spans", lambda s: ~s["added"]))
+    counts = [F.coalesce(F.size(F.filter("base", _is(k))), F.lit(0)).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
 
 
 def mask_personal(docs: DataFrame) -> DataFrame:
     """The documents with every span replaced by its kind in angle brackets; same columns and rows."""
-    found = personal_spans(docs)
+    by_start = F.sort_array(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     marks = materialise(
-        found.filter((F.size("base") > 0) | (F.size("added") > 0)).groupBy(F.col("doc_id").alias("_pii_doc")).agg(
-            F.sort_array(F.array_distinct(F.flatten(F.collect_list(F.transform(
-                F.concat("base", "added"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
-            ))))).alias("_pii_spans")
-        ), "pii-marks",
+        personal_spans(docs).filter("spans is not null").groupBy(F.col("doc_id").alias("_pii_doc"), F.col("text_hash").alias("_pii_hash"))
+        .agg(F.first(by_start).alias("_pii_spans")), "pii-marks",
     )
     text = F.col("text")
     nothing = F.expr("named_struct('at', 0, 'parts', cast(array() as array<string>))")
@@ -214,7 +198,8 @@ def mask_personal(docs: DataFrame) -> DataFrame:
     ))
     touched = F.col("_pii_spans").isNotNull() & text.isNotNull()
     now = {"text": F.when(touched, masked).otherwise(text)}
-    joined = docs.join(marks, F.col("doc_id") == F.col("_pii_doc"), "left").withColumn("_pii_text", now["text"])
+    same = F.col("doc_id").eqNullSafe(F.col("_pii_doc")) & (F.xxhash64("text") == F.col("_pii_hash"))
+    joined = docs.join(marks, same, "left").withColumn("_pii_text", now["text"])
     columns = []
     for c in docs.columns:
         value = F.col("_pii_text") if c == "text" else F.col(c)
