@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from demandloom.llm.jaccard import jaccard_join
+from demandloom.llm.packing import pack
 from demandloom.llm.pii import pii_digest
 from demandloom.llm.quality_rules import quality_rules
 from demandloom.llm.substring import substring_dedup
@@ -36,3 +37,8 @@ def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join(read(spark, folder, "documents"))
+
+
+@query
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(read(spark, folder, "documents"))
