@@ -10,6 +10,8 @@ from demandloom.llm.pii import pii_digest
 from demandloom.llm.quality_rules import quality_rules
 from demandloom.llm.substring import substring_dedup
 from demandloom.llm.tables import read
+from demandloom.llm.token_counts import token_counts
+from demandloom.llm.topk_search import topk_search
 
 QUERIES = {}
 
@@ -42,3 +44,13 @@ def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(read(spark, folder, "documents"))
+
+
+@query
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(read(spark, folder, "documents"))
+
+
+@query
+def op2_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    return topk_search(read(spark, folder, "embeddings"))
