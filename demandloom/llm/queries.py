@@ -12,6 +12,7 @@ from demandloom.llm.substring import substring_dedup
 from demandloom.llm.tables import read
 from demandloom.llm.token_counts import token_counts
 from demandloom.llm.topk_search import topk_search
+from demandloom.llm.url_filter import url_verdicts
 
 QUERIES = {}
 
@@ -54,3 +55,8 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     return topk_search(read(spark, folder, "embeddings"))
+
+
+@query
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_verdicts(read(spark, folder, "pages")).drop("log_odds")
