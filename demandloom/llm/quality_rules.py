@@ -111,8 +111,8 @@ def keep_good(docs: DataFrame) -> DataFrame:
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id"), F.col("text"))
     counted, conditions = with_counts(docs), rules()
     order = ordered_rules(counted, conditions)
-    rejected = base_failed()
+    kept = ~base_failed()
     for name in order:
-        rejected = F.when(rejected, True).otherwise(conditions[name])
-    kept = with_counts(own, carry=["row"]).filter(~rejected)
-    return kept.select("row.*")
+        kept = F.when(kept, ~conditions[name]).otherwise(False)
+    # A filter would be pushed below the counts and repeat them for every use; a generator isn't.
+    return with_counts(own, carry=["row"]).select(F.inline(F.when(kept, F.array("row"))))
