@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from demandloom.llm.jaccard import jaccard_join
 from demandloom.llm.packing import pack
 from demandloom.llm.pii import pii_digest
 from demandloom.llm.quality_rules import quality_rules
+from demandloom.llm.sampled_pieces import decode_pieces, sample_pieces
 from demandloom.llm.substring import substring_dedup
 from demandloom.llm.tables import read
 from demandloom.llm.token_counts import token_counts
@@ -60,3 +61,9 @@ def op2_topk_search(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_verdicts(read(spark, folder, "pages")).drop("log_odds")
+
+
+@query
+def op6_sampled_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    decoded = decode_pieces(sample_pieces(read(spark, folder, "documents")))
+    return decoded.withColumn("text_sha256", F.sha2("text", 256)).drop("text")
