@@ -9,6 +9,7 @@ from demandloom.llm.packing import pack
 from demandloom.llm.pii import pii_digest
 from demandloom.llm.quality_rules import quality_rules
 from demandloom.llm.sampled_pieces import decode_pieces, sample_pieces
+from demandloom.llm.secret_scan import secret_scan
 from demandloom.llm.substring import substring_dedup
 from demandloom.llm.tables import read
 from demandloom.llm.token_counts import token_counts
@@ -67,3 +68,9 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 def op6_sampled_pieces(spark: SparkSession, folder: str) -> DataFrame:
     decoded = decode_pieces(sample_pieces(read(spark, folder, "documents")))
     return decoded.withColumn("text_sha256", F.sha2("text", 256)).drop("text")
+
+
+@query
+def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan(read(spark, folder, "documents"))
+    return found.select("doc_id", "start", "end", F.sha2("value", 256).alias("value_sha256"), "label", F.round("probability", 6).alias("probability"), "secret")
