@@ -15,7 +15,7 @@ inclusion scores, 1 - exp(-exp(log p - threshold)).
 
 All random values are hashes of (seed, row key, sample, place), so results don't depend on
 partitions or retries. No piece crosses the begin of a blank or a line end (checked when the
-vocabulary is loaded), so places are shared by all occurrences of a word in a task.
+vocabulary is loaded), so places are shared by all occurrences of a word in a chunk of texts.
 
 Defined cases: null and empty texts have the one empty segmentation, with probability 1; a
 text with fewer than k segmentations gives all it has, with inclusion 1. Every row gets its
@@ -27,7 +27,6 @@ from __future__ import annotations
 import heapq
 import math
 import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from zlib import crc32
@@ -37,14 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from demandloom.llm.byte_tokens import vocabulary_path
-from demandloom.llm.words import mix, text_chunks
+from demandloom.llm.words import Powers, mix, stretch_names, text_chunks
 
 MODEL = "piece_bpe_32k.model"
 SAMPLES = 3
 SEED = 7
 BLANK = "▁"
 UNITS = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
-CACHED_PLACES = 1_000_000  # memory bound of a worker's lattice, without influence on results
+PIECE_POWERS = Powers(0xD1342543DE82EF95)
 STRIDE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -64,166 +63,213 @@ class Vocabulary:
                 self.weights[piece] = -math.log(2 - p.get_score(i))
                 if BLANK in piece.lstrip(BLANK) or ("\n" in piece and piece != "\n"):
                     raise ValueError("a piece crosses the begin of a blank or a line end")
-        self.prefixes = {piece[:k] for piece in self.ids for k in range(1, len(piece) + 1)}
         self.byte_weight = -math.log(2 * p.get_piece_size())
+        self.longest = max(map(len, self.ids))
+        # All beginnings of pieces by hash; id -1 for those that are no piece themselves.
+        pieces = list(dict.fromkeys(piece[:k] for piece in self.ids for k in range(1, len(piece) + 1)))
+        codes = np.frombuffer("".join(pieces).encode("utf-32-le"), np.uint32)
+        ends = np.cumsum([len(x) for x in pieces])
+        names = stretch_names(mix(codes.astype(np.uint64)), PIECE_POWERS, np.concatenate([[0], ends[:-1]]), ends)
+        order = np.argsort(names)
+        self.names = names[order]
+        self.piece_ids = np.array([self.ids.get(x, -1) for x in pieces])[order]
+        self.piece_weights = np.array([self.weights.get(x, 0.0) for x in pieces])[order]
+        if len(np.unique(names)) < len(names):
+            raise ValueError("two pieces share a hash")
 
     def decode(self, ids: list[int]) -> str:
         return self.processor.decode(ids)
 
 
 class Lattice:
-    """Places and edges of all words seen so far; a place's edges are consecutive."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
-        self.clear()
-
-    def clear(self) -> None:
-        self.units: dict[str, int] = {}
-        self.first, self.sums = array("q", [0]), array("d")  # first edge of each place; place + cumulated probability
-        self.chances, self.after, self.pieces = array("d"), array("q"), array("q")
-        self.fallback: list[list[int]] = []
-        self.arrays = None
-
-    def _edges(self, unit: str, i: int) -> list[tuple[int, float, int]]:
-        """(length, log weight, piece id or -1 - fallback number) of the pieces at i."""
-        v, found = self.vocabulary, []
-        for j in range(i + 1, len(unit) + 1):
-            piece = unit[i:j]
-            if piece not in v.prefixes:
-                break
-            if piece in v.ids:
-                found.append((j - i, v.weights[piece], v.ids[piece]))
-        if not found or found[0][0] > 1:
-            data = unit[i].encode("utf-8", "surrogatepass")
-            self.fallback.append([v.bytes[b] for b in data])
-            found.append((1, v.byte_weight * len(data), -len(self.fallback)))
-        return found
-
-    def add(self, unit: str) -> int:
-        """The first place of a word."""
-        place = self.units.get(unit)
-        if place is not None:
-            return place
-        length = len(unit)
-        beta, edges = [0.0] * (length + 1), [()] * length
-        for i in range(length - 1, -1, -1):
-            edges[i] = self._edges(unit, i)
-            values = [w + beta[i + n] for n, w, _ in edges[i]]
-            top = max(values)
-            beta[i] = top + math.log(sum([math.exp(x - top) for x in values]))
-        place = len(self.first) - 1
-        for i in range(length):
-            total = 0.0
-            for n, w, piece in edges[i]:
-                chance = w + beta[i + n] - beta[i]
-                total += math.exp(chance)
-                self.chances.append(min(chance, 0.0))
-                self.sums.append(place + i + min(total, 1.0))
-                self.after.append(place + i + n if i + n < length else -1)
-                self.pieces.append(piece)
-            self.first.append(len(self.sums))
-        self.units[unit] = place
-        self.arrays = None
-        return place
-
-    def places(self, text: str) -> np.ndarray:
-        """The first place of each word of a text."""
-        escaped = BLANK + text.replace(" ", BLANK) if text else ""
-        return np.array([self.add(u) for u in UNITS.findall(escaped)], np.int64)
-
-    def freeze(self):
-        if self.arrays is None:
-            self.arrays = tuple(np.array(x) for x in (self.first, self.sums, self.chances, self.after, self.pieces))
-        return self.arrays
-
-
-def uniform(key: np.ndarray | int, counter: np.ndarray) -> np.ndarray:
+    """Places and edges of the distinct words of some texts; a place's edges are consecutive.
+
+    ``starts`` has the first place of every word of every text, ``bounds`` cuts it by text.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, texts: list[str]):
+        self.vocabulary, numbers = vocabulary, {}
+        own = [[numbers.setdefault(u, len(numbers)) for u in UNITS.findall(BLANK + t.replace(" ", BLANK))] if t else [] for t in texts]
+        units = list(numbers)
+        ends = np.cumsum(np.array([len(u) for u in units], np.int64))
+        begins = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(units) else ends
+        self._build("".join(units), np.repeat(ends, np.diff(ends, prepend=0)) if len(units) else ends)
+        self.bounds = np.cumsum([0] + [len(o) for o in own])
+        self.starts = begins[np.array([n for o in own for n in o], np.int64)] if len(units) else begins
+
+    def _build(self, text: str, end: np.ndarray) -> None:
+        v, count = self.vocabulary, len(text)
+        codes = mix(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64))
+        here = np.arange(count)
+        places, lengths, weights, pieces = [], [], [], []
+        up, down = PIECE_POWERS(count + 1)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * up[:count])])
+        at = here
+        for length in range(1, v.longest + 1):
+            at = at[at + length <= end[at]]
+            name = mix((sums[at + length] - sums[at]) * down[at] + np.uint64(length))
+            found = np.minimum(np.searchsorted(v.names, name), len(v.names) - 1)
+            hit = v.names[found] == name
+            at, found = at[hit], found[hit]
+            whole = v.piece_ids[found] >= 0
+            places.append(at[whole])
+            lengths.append(np.full(int(whole.sum()), length))
+            weights.append(v.piece_weights[found[whole]])
+            pieces.append(v.piece_ids[found[whole]])
+        # Characters that are no piece: their bytes.
+        lacks = np.ones(count, bool)
+        lacks[places[0]] = False
+        lacking = np.flatnonzero(lacks)
+        self.fallback = [[v.bytes[x] for x in text[i].encode("utf-8", "surrogatepass")] for i in lacking.tolist()]
+        places.append(lacking)
+        lengths.append(np.ones(len(lacking), np.int64))
+        weights.append(np.array([v.byte_weight * len(f) for f in self.fallback]))
+        pieces.append(np.array([f[0] if len(f) == 1 else -1 - k for k, f in enumerate(self.fallback)], np.int64))
+        place, length, weight, piece = (np.concatenate(x) for x in (places, lengths, weights, pieces))
+        order = np.lexsort((length, place))
+        place, length, weight, piece = place[order], length[order], weight[order], piece[order]
+        self.first = np.searchsorted(place, np.arange(count + 1))
+        target = place + length
+        last = target == end[place] if count else np.zeros(0, bool)
+        # Log sums of weights from each place to its word's end, for places ever farther from it.
+        beta = np.zeros(count + 1)
+        follow = np.where(last, count, target)
+        distance = (end[place] - place) if count else place
+        by_distance = np.lexsort((place, distance))
+        cuts = np.flatnonzero(np.diff(distance[by_distance], prepend=-1, append=-1)) if len(place) else []
+        for begin, stop in zip(cuts[:-1], cuts[1:]):
+            edges = by_distance[begin:stop]
+            value, own = weight[edges] + beta[follow[edges]], place[edges]
+            heads = np.flatnonzero(np.diff(own, prepend=-1))
+            top = np.maximum.reduceat(value, heads)
+            total = np.add.reduceat(np.exp(value - np.repeat(top, np.diff(heads, append=len(own)))), heads)
+            beta[own[heads]] = top + np.log(total)
+        self.chances = np.minimum(weight + beta[follow] - beta[place], 0.0)
+        running = np.cumsum(np.exp(self.chances))
+        before = np.concatenate([[0.0], running])[self.first[place]] if count else running
+        self.sums = place + np.minimum(running - before, 1.0)
+        self.after, self.pieces, self.place = np.where(last, -1, target), piece, place
+
+
+def uniform(key: np.ndarray, counter: np.ndarray) -> np.ndarray:
     """Values in (0, 1) that depend on key and counter alone."""
-    bits = mix(mix(counter.astype(np.uint64) * STRIDE + np.uint64(key)) + np.uint64(key))
+    bits = mix(mix(counter.astype(np.uint64) * STRIDE + key) + key)
     return ((bits >> np.uint64(12)).astype(np.float64) + 0.5) / (1 << 52)
 
 
-def walk(lattice: Lattice, starts: np.ndarray, key: int) -> np.ndarray:
-    """Edges of a random way from each start to the end of its word, one after the other."""
-    first, sums, _, after, _ = lattice.freeze()
-    rows, edges = [], []
-    active, place, step = np.arange(len(starts)), starts, 0
+def walk(lattice: Lattice, starts: np.ndarray, keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a random way from each start to the end of its word, one after the other; their walker.
+
+    A walker's values depend on its key and its place among those with the key.
+    """
+    rows, edges, step = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    active, at = np.arange(len(starts)), starts
     while len(active):
-        edge = np.searchsorted(sums, place + uniform(key, active * 64 + step % 64 + (step // 64 << 40)), side="right")
-        edge = np.clip(edge, first[place], first[place + 1] - 1)
+        u = uniform(keys[active], places[active] + np.uint64(step << 36))
+        edge = np.searchsorted(lattice.sums, at + u, side="right")
+        edge = np.clip(edge, lattice.first[at], lattice.first[at + 1] - 1)
         rows.append(active)
         edges.append(edge)
-        go = after[edge] >= 0
-        active, place, step = active[go], after[edge[go]], step + 1
-    if not rows:
-        return np.zeros(0, np.int64)
-    return np.concatenate(edges)[np.argsort(np.concatenate(rows), kind="stable")]
+        go = lattice.after[edge] >= 0
+        active, at, step = active[go], lattice.after[edge[go]], step + 1
+    walker = np.concatenate(rows)
+    order = np.argsort(walker, kind="stable")
+    return np.concatenate(edges)[order], walker[order]
 
 
-def _cut_gumbel(mass: np.ndarray, limit: float, u: np.ndarray) -> np.ndarray:
+def _cut_gumbel(mass: np.ndarray, limit: np.ndarray, u: np.ndarray) -> np.ndarray:
     """Gumbel values at log masses, not above the limit."""
     with np.errstate(over="ignore", divide="ignore"):
         return mass - np.log(np.exp(mass - limit) - np.log(u))
 
 
-def sampled(lattice: Lattice, starts: np.ndarray, key: int, samples: int):
-    """(edges, log probability, perturbed value) of distinct segmentations, best first, and the threshold."""
-    first, _, chances, after, _ = lattice.freeze()
-    base = int(mix(np.array([key], np.int64).view(np.uint64) * STRIDE + np.uint64(SEED))[0])
-    keys = [int(x) for x in mix(np.arange(1, 2 * samples + 3, dtype=np.uint64) + np.uint64(base))]
-    draws = float(uniform(keys[-1], np.zeros(1))[0])
-    edges, value, at, barred = walk(lattice, starts, keys[0]), -math.log(-math.log(draws)), 0, []
-    found, parts = [], []
-    while True:
-        log_p = chances[edges]
+class Search:
+    """The state of one text: its segmentations so far and the parts that remain."""
+
+    def __init__(self, key: int, starts: np.ndarray, samples: int):
+        base = mix(np.array([key], np.int64).view(np.uint64) * STRIDE + np.uint64(SEED))
+        self.keys = mix(np.arange(1, 2 * samples + 4, dtype=np.uint64) + base)
+        self.starts, self.samples = starts, samples
+        self.found: list[tuple[np.ndarray, float, float]] = []
+        self.parts: list[tuple] = []
+        self.value = -math.log(-math.log(float(uniform(self.keys[-1:], np.zeros(1))[0])))
+        self.head, self.at, self.barred = np.zeros(0, np.int64), 0, ()  # edges before the walk, first step that may differ, barred there
+        self.begin, self.done = starts, False
+
+    @property
+    def walk_key(self) -> np.uint64:
+        return self.keys[self.samples + len(self.found)]
+
+    def split(self, lattice: Lattice, walked: np.ndarray) -> None:
+        """Takes the walk as the next segmentation and queues what first differs from it."""
+        edges = np.concatenate([self.head, walked]) if len(self.head) else walked
+        log_p = lattice.chances[edges]
         upto = np.cumsum(log_p)
-        found.append((edges, float(upto[-1]) if len(upto) else 0.0, value))
-        # What first differs from this segmentation at each step from ``at`` on.
-        number = len(found)
-        mass = upto[at:] - log_p[at:]
+        number = len(self.found)
+        self.found.append((edges, float(upto[-1]) if len(upto) else 0.0, self.value))
+        own = log_p[self.at :]
         with np.errstate(divide="ignore"):
-            rest = np.log1p(-np.minimum(np.exp(log_p[at:]), 1.0))
-        if barred:
-            place_chances = [math.exp(chances[e]) for e in [*barred, int(edges[at])]]
-            left = 1.0 - math.fsum(place_chances)
-            place = np.searchsorted(first, edges[at], side="right") - 1
-            rest[0] = math.log(left) if left > 1e-12 and first[place + 1] - first[place] > len(place_chances) else -math.inf
-        mass = mass + rest
+            rest = np.log1p(-np.exp(own))
+        if self.barred:
+            gone = [*self.barred, int(edges[self.at])]
+            place = lattice.place[gone[0]]
+            left = 1.0 - math.fsum(np.exp(lattice.chances[gone]).tolist())
+            rest[0] = math.log(left) if left > 1e-12 and lattice.first[place + 1] - lattice.first[place] > len(gone) else -math.inf
+        mass = upto[self.at :] - own + rest
         live = np.flatnonzero(mass > -math.inf)
-        if len(live):
-            maxima = _cut_gumbel(mass[live], value, uniform(keys[number], (at + live) + (1 << 50)))
-            wanted = samples + 1 - number
-            best = np.argpartition(-maxima, wanted - 1)[:wanted] if len(live) > wanted else np.arange(len(live))
-            for b in best.tolist():
-                step = at + int(live[b])
-                heapq.heappush(parts, (-float(maxima[b]), number - 1, step, tuple(barred) if step == at else ()))
-        if not parts:
-            return found, -math.inf
-        if number == samples:
-            return found, -parts[0][0]
-        value, parent, at, barred = heapq.heappop(parts)
-        value, old = -value, found[parent][0]
-        barred = [*barred, int(old[at])]
-        place = int(np.searchsorted(first, old[at], side="right")) - 1
-        options = [e for e in range(int(first[place]), int(first[place + 1])) if e not in barred]
-        weights = np.exp(chances[options])
-        pick = np.searchsorted(np.cumsum(weights), uniform(keys[samples + number], np.array([1 << 51]))[0] * weights.sum())
-        edge = options[min(int(pick), len(options) - 1)]
+        maxima = _cut_gumbel(mass[live], self.value, uniform(self.keys[number], (self.at + live) + (1 << 50)))
+        wanted = self.samples - number
+        best = np.argpartition(-maxima, wanted - 1)[:wanted] if len(live) > wanted else np.arange(len(live))
+        for b in best.tolist():
+            step = self.at + int(live[b])
+            heapq.heappush(self.parts, (-float(maxima[b]), number, step, self.barred if step == self.at else ()))
+        self.done = not self.parts or len(self.found) == self.samples
+        if not self.done:
+            self._next(lattice)
+
+    def _next(self, lattice: Lattice) -> None:
+        """Takes the best part: its first new edge, and the places where its walk begins."""
+        value, parent, self.at, barred = heapq.heappop(self.parts)
+        self.value, old = -value, self.found[parent][0]
+        self.barred = (*barred, int(old[self.at]))
+        place = int(lattice.place[old[self.at]])
+        options = [e for e in range(int(lattice.first[place]), int(lattice.first[place + 1])) if e not in self.barred]
+        weights = np.cumsum(np.exp(lattice.chances[options]))
+        pick = int(np.searchsorted(weights, uniform(self.keys[self.samples + len(self.found) :][:1], np.array([1 << 51]))[0] * weights[-1]))
+        edge = options[min(pick, len(options) - 1)]
+        self.head = np.concatenate([old[: self.at], [edge]])
         # Words after the one that changes start anew; it goes on where the new edge ends.
-        word = int((after[old[:at]] < 0).sum())
-        following = starts[word + 1 :]
-        begin = np.concatenate([[after[edge]], following]) if after[edge] >= 0 else following
-        edges = np.concatenate([old[:at], [edge], walk(lattice, begin, keys[samples + number])])
+        following = self.starts[int((lattice.after[old[: self.at]] < 0).sum()) + 1 :]
+        self.begin = np.concatenate([[lattice.after[edge]], following]) if lattice.after[edge] >= 0 else following
+
+    @property
+    def threshold(self) -> float:
+        return -self.parts[0][0] if self.parts else -math.inf
+
+
+def sampled(lattice: Lattice, keys: list[int], samples: int) -> list[Search]:
+    """The searches of all texts of a lattice, advanced together by one segmentation a round."""
+    searches = [Search(k, lattice.starts[a:b], samples) for k, a, b in zip(keys, lattice.bounds[:-1], lattice.bounds[1:])]
+    open_ = searches
+    while open_:
+        counts = np.array([len(s.begin) for s in open_])
+        places = (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)).astype(np.uint64)
+        walk_keys = np.repeat(np.array([s.walk_key for s in open_], np.uint64), counts)
+        edges, walker = walk(lattice, np.concatenate([s.begin for s in open_]), walk_keys, places)
+        cuts = np.searchsorted(walker, np.concatenate([[0], np.cumsum(counts)]))
+        for search, a, b in zip(open_, cuts[:-1], cuts[1:]):
+            search.split(lattice, edges[a:b])
+        open_ = [s for s in open_ if not s.done]
+    return searches
 
 
 @lru_cache(maxsize=2)
-def shared_lattice(model: str) -> Lattice:
-    return Lattice(Vocabulary(model))
+def shared_vocabulary(model: str) -> Vocabulary:
+    return Vocabulary(model)
 
 
 def piece_ids(lattice: Lattice, edges: np.ndarray) -> np.ndarray:
-    ids = lattice.freeze()[4][edges]
+    ids = lattice.pieces[edges]
     if len(ids) and ids.min() < 0:
         ids = np.array([x for i in ids.tolist() for x in ([i] if i >= 0 else lattice.fallback[-1 - i])])
     return ids.astype(np.int32)
@@ -234,18 +280,16 @@ SEGMENTED = "doc_id long, sample int, ids array<int>, log_prob double, perturbed
 
 def segment(model: str, samples: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = shared_lattice(model)
         names = ["doc_id", "sample", "ids", "log_prob", "perturbed", "inclusion"]
         types = pa.schema(list(zip(names, [pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.float64(), pa.float64(), pa.float64()])))
         for batch in batches:
             docs = batch.column("doc_id").to_pylist()
             for row, texts in text_chunks(batch.column("text")):
-                if len(lattice.first) > CACHED_PLACES:
-                    lattice.clear()
-                out = {n: [] for n in names}
-                for key, starts in zip(docs[row:], [lattice.places(t) for t in texts]):
-                    found, threshold = sampled(lattice, starts, key or 0, samples)
-                    for number, (edges, log_p, value) in enumerate(found):
+                keys, out = docs[row : row + len(texts)], {n: [] for n in names}
+                lattice = Lattice(shared_vocabulary(model), texts)
+                for key, search in zip(keys, sampled(lattice, [k or 0 for k in keys], samples)):
+                    threshold = search.threshold
+                    for number, (edges, log_p, value) in enumerate(search.found):
                         inclusion = 1.0 if threshold == -math.inf else -math.expm1(-math.exp(min(log_p - threshold, 700.0)))
                         for n, v in zip(names, (key, number, piece_ids(lattice, edges), log_p, value, inclusion)):
                             out[n].append(v)
@@ -261,7 +305,7 @@ def sample_pieces(docs: DataFrame, samples: int = SAMPLES, model: str = MODEL) -
 
 def decoded(model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared_lattice(model).vocabulary
+        vocabulary = shared_vocabulary(model)
         for batch in batches:
             ids = batch.column("ids")
             texts = [vocabulary.decode(ids[k].as_py() or []) for k in range(batch.num_rows)]
