@@ -44,7 +44,7 @@ from demandloom.llm.words import (
 from demandloom.sources.storage import materialise
 
 WINDOW = 20
-ROUNDS = 2  # of pairs, after one of runs
+ROUNDS = 3  # of pairs, after one of runs
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
