@@ -36,8 +36,9 @@ from hashlib import sha256
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
+from pyspark.sql.types import StringType
 
-from demandloom.llm.tables import one_row_each
+from demandloom.llm.tables import one_row_each, repeated_keys
 from demandloom.llm.words import (
     Powers, Words, array_column, mix, multipliers, signed, split_words, stretch_names, text_chunks, window_names,
 )
@@ -314,18 +315,48 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     )
 
 
+def cut_places(texts: DataFrame) -> DataFrame:
+    """doc_id, marks, singles of the documents with a repeated window: what ``removed_words`` needs.
+
+    Only the lookup of mixed windows joins texts; the places themselves hold none.
+    """
+    found = repeated(texts.mapInArrow(anchored, STRETCH), ["windows"]).filter("mixed or later")
+    marks = materialise(found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "windows", "mixed")).alias("marks")), "repeats-marks")
+    mixed = texts.join(marks.filter("exists(marks, m -> m.mixed)"), "doc_id")
+    single = repeated(mixed.mapInArrow(mixed_windows, NAMED).withColumn("key", F.xxhash64("key", "span")), [])
+    singles = single.filter("later").groupBy("doc_id").agg(F.collect_list("start").alias("singles"))
+    return marks.join(singles, "doc_id", "left").filter("singles is not null or exists(marks, m -> not m.mixed)")
+
+
+@F.arrow_udf(StringType())
+def cut_text(text: pa.Array, marks: pa.Array, singles: pa.Array) -> pa.Array:
+    out = []
+    for row in range(len(text)):
+        own, words = marks[row].as_py(), None
+        if own is not None:
+            words = Words([text[row].as_py()])
+            words = without(words, removed_words(len(words.begin), own, singles[row].as_py()))
+        out.append(words)
+    return pa.array(out, pa.string())
+
+
 def drop_repeats(docs: DataFrame) -> DataFrame:
     """The documents with repeated passages cut out of ``text``; same columns and rows.
 
     ``n_chars``, where present, follows the text. Rows that repeat a doc_id get one text.
     """
-    changed = materialise(
-        rewritten(one_row_each(docs)).filter("n_removed > 0").select(F.col("doc_id").alias("_cut_doc"), F.col("kept_text").alias("_cut_text")),
-        "repeats-texts",
-    )
-    cut = F.col("_cut_text").isNotNull()
-    joined = docs.join(changed, F.col("doc_id") == F.col("_cut_doc"), "left")
-    now = {"text": F.when(cut, F.col("_cut_text")).otherwise(F.col("text"))}
+    texts, again = one_row_each(docs), repeated_keys(docs)
+    cuts = cut_places(texts).withColumn("text", F.lit(None).cast("string"))
+    if not again.isEmpty():
+        cuts = cuts.drop("text").join(texts.join(again, "doc_id"), "doc_id", "left")
+    cuts = materialise(cuts, "repeats-cuts")
+    joined = docs.alias("d").join(cuts.alias("c"), F.col("d.doc_id").cast("long") == F.col("c.doc_id"), "left")
+    cut = F.col("c.doc_id").isNotNull()
+    # Texts without a cut don't go to Python.
+    judged = F.when(cut, F.coalesce("c.text", F.col("d.text").cast("string"), F.lit("")))
+    new = F.coalesce(cut_text(judged, F.col("c.marks"), F.col("c.singles")), F.col("d.text").cast("string"))
+    now = {"text": new.alias("text")}
     if "n_chars" in docs.columns:
-        now["n_chars"] = F.when(cut, F.length("_cut_text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return joined.select(*[now.get(c, F.col(c)).alias(c) for c in docs.columns])
+        length = F.when(cut, F.length(new)).otherwise(F.col("d.n_chars"))
+        now["n_chars"] = length.cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return joined.select(*[now.get(c, F.col(f"d.`{c}`")) for c in docs.columns])

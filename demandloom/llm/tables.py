@@ -9,6 +9,12 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def repeated_keys(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Keys of more than one row, as long."""
+    keys = docs.select(F.col(key).cast("long").alias(key)).filter(F.col(key).isNotNull())
+    return keys.groupBy(key).count().filter("count > 1").select(key)
+
+
 def one_row_each(docs: DataFrame, key: str = "doc_id", value: str = "text") -> DataFrame:
     """``key`` as long and ``value`` as string, empty for null: one row per key that is not null.
 
@@ -16,5 +22,4 @@ def one_row_each(docs: DataFrame, key: str = "doc_id", value: str = "text") -> D
     rows reads and shuffles the keys alone; the values are grouped only if there are any.
     """
     rows = docs.select(F.col(key).cast("long").alias(key), F.coalesce(F.col(value).cast("string"), F.lit("")).alias(value)).filter(F.col(key).isNotNull())
-    again = rows.groupBy(key).count().filter("count > 1")
-    return rows if again.isEmpty() else rows.groupBy(key).agg(F.min(value).alias(value))
+    return rows if repeated_keys(docs, key).isEmpty() else rows.groupBy(key).agg(F.min(value).alias(value))

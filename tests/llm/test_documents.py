@@ -64,6 +64,24 @@ def test_repeats_of_odd_rows(odd):
     assert substring_dedup(odd.limit(0)).count() == drop_repeats(odd.limit(0)).count() == 0
 
 
+def test_cut_texts_hold_the_kept_words(spark):
+    rng = np.random.default_rng(2)
+    passage = " ".join(f"p{i}" for i in range(30))
+    texts = {k: " ".join(rng.choice([*"abcdefgh"], 40)) + (f" {passage}\nend {k}" if k % 3 else "") for k in range(30)}
+    rows = [(k, t, k, "m") for k, t in texts.items()] + [(7, texts[7] + " zz", 1, "m"), (None, passage, 2, "m")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, singles int, `a.b` string")
+    cut = drop_repeats(docs)
+    assert cut.schema.names == docs.schema.names
+    found = cut.collect()
+    assert sorted((r["doc_id"] or 0, r["singles"], r["a.b"]) for r in found) == sorted((r[0] or 0, r[2], r[3]) for r in rows)
+    expected = repeats(texts)
+    for row in found:  # both rows of document 7 get the text of the smaller one
+        if row["doc_id"] is None:
+            assert row["text"] == passage
+        else:
+            assert hashlib.sha256(" ".join(words(row["text"])).encode()).hexdigest() == expected[row["doc_id"]][2]
+
+
 # --- near copies -------------------------------------------------------------------------------
 
 def classes(texts):
