@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from demandloom.llm.collocations import collocations
 from demandloom.llm.jaccard import jaccard_join
 from demandloom.llm.packing import pack
 from demandloom.llm.pii import pii_digest
 from demandloom.llm.quality_rules import quality_rules
+from demandloom.llm.resampling import resample
 from demandloom.llm.sampled_pieces import decode_pieces, sample_pieces
 from demandloom.llm.secret_scan import secret_scan
 from demandloom.llm.substring import substring_dedup
@@ -15,6 +17,7 @@ from demandloom.llm.tables import read
 from demandloom.llm.token_counts import token_counts
 from demandloom.llm.topk_search import topk_search
 from demandloom.llm.url_filter import url_verdicts
+from demandloom.llm.vector_tree import nearest_neighbours
 
 QUERIES = {}
 
@@ -74,3 +77,18 @@ def op6_sampled_pieces(spark: SparkSession, folder: str) -> DataFrame:
 def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan(read(spark, folder, "documents"))
     return found.select("doc_id", "start", "end", F.sha2("value", 256).alias("value_sha256"), "label", F.round("probability", 6).alias("probability"), "secret")
+
+
+@query
+def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@query
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(read(spark, folder, "documents"))
+
+
+@query
+def op12_vector_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest_neighbours(read(spark, folder, "embeddings"))
