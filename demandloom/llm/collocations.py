@@ -10,13 +10,12 @@ from the graph:
 
 and again for two words from the nodes that begin with them, and for one word from these.
 
-1. *Pruning.* A fixed table of 2^28 buckets counts pairs of neighbouring words by hash. A bucket's
-   count is at least that of each of its pairs, so a pair in a bucket below the least count is in no
-   candidate, and places before it emit what is left of the stretch as a correction. No
-   count changes by this, only long stretches that can't matter are never shuffled. As a corpus outgrows
-   the table, fewer stretches are cut off; results stay the same.
-2. *Graph.* Stretches are 64-bit names by level, counted in a task, then by aggregates that
-   combine before each shuffle, so a very frequent stretch is one row per task.
+1. *Pruning.* Pairs of neighbouring words are counted by name, and the frequent ones set bits of a table of fixed
+   size. A pair whose bit is not set is in no candidate, and places before it emit what is left of the
+   stretch as a correction. No count changes by this, only long stretches that can't matter are
+   never shuffled. If a corpus outgrows the table, fewer stretches are cut off; results stay the same.
+2. *Graph.* Stretches are 64-bit names by level, combined in a task before they are shuffled, so a very
+   frequent stretch is one row per task.
 3. *Phrases.* Frequent stretches are read back from the texts by name, with the names of their
    parts. Their scores, and what lies in longer ones, are joins and aggregates over frequent stretches alone.
 4. *Compaction.* A node whose one incoming and one outgoing edge weigh as much as itself lies inside a
@@ -48,10 +47,9 @@ SCALE = 2_000_000
 CONTAINED = (100, 80)  # dropped if 100 * f(longer) >= 80 * f(phrase)
 UNKNOWN = "und"
 
-PAIR_BITS = 28            # buckets of the pruning table, one bit each in the tasks
-GROUP_BITS = 10           # of them that say which task sums a bucket
-NAME_BITS = 26            # buckets of the filter by which frequent stretches are found again
-HELD = 1 << 20            # rows that a task combines before it sends them on
+PAIR_BITS = 28            # the table of frequent pairs has 2^28 bits
+NAME_BITS = 26            # that by which frequent stretches are found again has 2^26
+HELD = 1 << 19            # rows that a task combines before it sends them on
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -152,71 +150,37 @@ def _held(rows: Iterator[tuple[np.ndarray, np.ndarray]], most: int) -> Iterator[
 
 # --- pruning --------------------------------------------------------------------------------
 
-def _pair_counts(bound: int):
-    """Pairs by bucket, packed: one row per group of buckets and portion of the task."""
-    low = PAIR_BITS - GROUP_BITS
+def bit_table(names: DataFrame, bits: int):
+    """Broadcast table of 2^bits bits, set at the hash prefix of every name."""
+    place = F.shiftrightunsigned("name", 64 - bits)
+    pages = names.select(place.alias("place")).groupBy(F.shiftright("place", 15).alias("page")).agg(
+        F.expr("bitmap_construct_agg(place % 32768)").alias("bits")
+    )
+    table = np.zeros(max(4096, 1 << (bits - 3)), np.uint8)
+    for row in pages.collect():  # at most 2^(bits - 15) rows of 4096 bytes
+        table[row["page"] * 4096 : (row["page"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
+    return names.sparkSession.sparkContext.broadcast(table)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            for chunk in chunks(batches, CHUNK_BYTES):
-                names = chunk.names(2)
-                buckets = (names[names != 0] >> np.uint64(64 - PAIR_BITS)).astype(np.uint32)
-                yield buckets, np.ones(len(buckets), np.int64)
-
-        for buckets, counts in _held(rows(), HELD):
-            group = buckets >> np.uint32(low)
-            cuts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-            ends = np.append(cuts[1:], len(group))
-            inner, capped = buckets & np.uint32((1 << low) - 1), np.minimum(counts, bound).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(group[cuts].astype(np.int32)),
-                pa.array([inner[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-                pa.array([capped[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-            ], ["group", "buckets", "counts"])
-    return count
-
-
-def _frequent_bits(bound: int):
-    """One bit per bucket of a group: its pairs may reach the least count."""
-    def sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, current = None, None
-
-        def bits():
-            return pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), pa.array([np.packbits(total >= bound).tobytes()], pa.binary())], ["group", "bits"])
 
-        for batch in batches:
-            for group, buckets, counts in zip(batch.column("group").to_pylist(), batch.column("buckets"), batch.column("counts")):
-                if group != current:
-                    if current is not None:
-                        yield bits()
-                    total, current = np.zeros(1 << (PAIR_BITS - GROUP_BITS), np.int32), group
-                place = np.frombuffer(buckets.as_buffer(), np.uint32)  # distinct within a row
-                total[place] = np.minimum(total[place] + np.frombuffer(counts.as_buffer(), np.uint8), bound)
-        if current is not None:
-            yield bits()
-    return sum_up
+def _has(table: np.ndarray, names: np.ndarray, bits: int) -> np.ndarray:
+    place = (names >> np.uint64(64 - bits)).astype(np.int64)
+    return (table[place >> 3] >> (place & 7).astype(np.uint8)) & 1 != 0  # Spark's bitmaps count from the lowest bit
 
 
 def frequent_pairs(texts: DataFrame, least: int = LEAST):
-    """Broadcast bits of the pruning table: 2^PAIR_BITS bits whatever the corpus.
+    """Broadcast table of the pairs with at least ``least`` occurrences: 2^PAIR_BITS bits whatever the corpus."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            for chunk in chunks(batches, CHUNK_BYTES):
+                names = chunk.names(2)
+                names = names[names != 0]
+                yield names, np.ones(len(names), np.int64)
 
-    Counts are kept up to ``least`` (255 at most, which prunes less and stays right).
-    """
-    bound = min(least, 255)
-    packed = texts.mapInArrow(_pair_counts(bound), "group int, buckets binary, counts binary")
-    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = packed.repartition(min(parts, 1 << GROUP_BITS), "group").sortWithinPartitions("group")
-    found = rows.mapInArrow(_frequent_bits(bound), "group int, bits binary").collect()  # at most 2^GROUP_BITS rows
-    size = 1 << (PAIR_BITS - GROUP_BITS - 3)
-    table = np.zeros(1 << (PAIR_BITS - 3), np.uint8)
-    for row in found:
-        table[row["group"] * size : (row["group"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
-    return texts.sparkSession.sparkContext.broadcast(table)
+        for names, counts in _held(rows(), HELD):
+            yield pa.RecordBatch.from_arrays([pa.array(signed(names)), pa.array(counts)], ["name", "count"])
 
-
-def _has(table: np.ndarray, names: np.ndarray, bits: int) -> np.ndarray:
-    place = names >> np.uint64(64 - bits)
-    return (table[(place >> np.uint64(3)).astype(np.int64)] >> (7 - (place & np.uint64(7))).astype(np.uint8)) & 1 != 0
+    pairs = texts.mapInArrow(count, "name long, count long").groupBy("name").agg(F.sum("count").alias("f"))
+    return bit_table(pairs.filter(F.col("f") >= least), PAIR_BITS)
 
 
 # --- graph ----------------------------------------------------------------------------------
@@ -225,23 +189,25 @@ LEVELS = [f"name_{n}" for n in range(1, MOST_WORDS + 1)]
 
 
 def longest_stretches(texts: DataFrame, pairs) -> DataFrame:
-    """name_1 .. name_4, count: the longest stretch at every place, 0 beyond its end.
+    """name_1 .. name_4, count: the longest stretch at every place.
 
-    A row with name_4 is an edge, the others are corrections.
+    A row with name_4 is an edge, the others are corrections and have 0 there. Those of one or two
+    words repeat their own name as name_3, by which rows are dealt to tasks; name_2 is 0 for one word.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for chunk in chunks(batches, CHUNK_BYTES):
-                two = chunk.names(2)
+                one, two = chunk.names(1), chunk.names(2)
                 go_on = (two != 0) & _has(pairs.value, two, PAIR_BITS)
                 keys = np.zeros((len(two), MOST_WORDS), np.uint64)
-                keys[:, 0] = chunk.names(1)
+                keys[:, 0] = one
                 reach = go_on
                 for n in range(2, MOST_WORDS + 1):
                     keys[:, n - 1] = np.where(reach, chunk.names(n), 0)
                     following = np.zeros(len(two), bool)
-                    following[: len(two) - n + 1] = go_on[n - 1 :] if n <= len(two) else False
+                    following[: max(0, len(two) - n + 1)] = go_on[n - 1 :]
                     reach = reach & following
+                keys[:, 2] = np.where(keys[:, 2] != 0, keys[:, 2], np.where(keys[:, 1] != 0, keys[:, 1], one))
                 yield _combined(keys, np.ones(len(keys), np.int64))
 
         for keys, counts in _held(rows(), HELD):
@@ -250,23 +216,65 @@ def longest_stretches(texts: DataFrame, pairs) -> DataFrame:
     return texts.mapInArrow(count, ", ".join(f"{n} long" for n in LEVELS) + ", count long")
 
 
+FLOWS = "words int, name_1 long, name long, f long"
+
+
+def _node_flows(least: int):
+    """Weights of frequent edges and nodes, and what flows on to pairs and words.
+
+    Rows arrive sorted by (name_3, name_4), so an edge and a node are runs; a run that goes on in
+    the next batch is carried over as one row.
+    """
+    def flows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_edge, held_node = np.zeros((0, 5), np.int64), np.zeros((0, 5), np.int64)
+
+        def runs(rows: np.ndarray, key: int, last: bool) -> tuple[np.ndarray, np.ndarray]:
+            """(finished runs with their sums, the run that may go on)."""
+            if not len(rows):
+                return rows, rows
+            change = rows[1:, 2] != rows[:-1, 2]
+            if key == 3:
+                change = change | (rows[1:, 3] != rows[:-1, 3])
+            starts = np.flatnonzero(np.concatenate([[True], change]))
+            summed = rows[starts]
+            summed[:, 4] = np.add.reduceat(rows[:, 4], starts)
+            return (summed, summed[:0]) if last else (summed[:-1], summed[-1:])
+
+        def emit(edges: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
+            edges = edges[(edges[:, 3] != 0) & (edges[:, 4] >= least)]
+            one = nodes[:, 1] == 0
+            three = (nodes[:, 2] != nodes[:, 1]) & ~one
+            often = nodes[three & (nodes[:, 4] >= least)]
+            parts = [(4, edges[:, 0], edges[:, 3], edges[:, 4]), (3, often[:, 0], often[:, 2], often[:, 4]),
+                     (2, nodes[~one, 0], nodes[~one, 1], nodes[~one, 4]), (1, nodes[one, 0], nodes[one, 0], nodes[one, 4])]
+            return pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([np.full(len(p[1]), p[0], np.int32) for p in parts])),
+                *[pa.array(np.concatenate([p[k] for p in parts])) for k in (1, 2, 3)],
+            ], ["words", "name_1", "name", "f"])
+
+        for batch in batches:
+            rows = np.stack([batch.column(c).to_numpy() for c in [*LEVELS, "count"]], axis=1)
+            edges, held_edge = runs(np.concatenate([held_edge, rows]), 3, False)
+            nodes, held_node = runs(np.concatenate([held_node, rows]), 2, False)
+            yield emit(edges, nodes)
+        yield emit(runs(held_edge, 3, True)[0], runs(held_node, 2, True)[0])
+    return flows
+
+
 def stretch_counts(texts: DataFrame, least: int = LEAST) -> DataFrame:
     """name, words, f: every stretch of 1 to 4 words with at least ``least`` occurrences.
 
     Each level is the flow of the level above: the counts of the stretches that begin with it,
-    corrections included.
+    corrections included. Edges meet at their node, whose rows are one per task and
+    following word; pairs and words are sums that combine before their shuffle.
     """
-    flow = longest_stretches(texts, frequent_pairs(texts, least))
-    levels = []
-    for n in range(MOST_WORDS, 0, -1):
-        flow = flow.groupBy(*LEVELS[:n]).agg(F.sum("count").alias("count"))
-        levels.append(flow.filter((F.col("count") >= least) & (F.col(LEVELS[n - 1]) != 0)).select(
-            F.col(LEVELS[n - 1]).alias("name"), F.lit(n).alias("words"), F.col("count").alias("f")
-        ))
-    result = levels[0]
-    for level in levels[1:]:
-        result = result.unionByName(level)
-    return materialise(result, "stretch-counts")
+    stretches = longest_stretches(texts, frequent_pairs(texts, least))
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = stretches.repartition(parts, "name_3").sortWithinPartitions("name_3", "name_4")
+    flows = materialise(dealt.mapInArrow(_node_flows(least), FLOWS).groupBy("words", "name_1", "name").agg(F.sum("f").alias("f")), "stretch-flows")
+    words = flows.filter("words < 3").groupBy(F.col("name_1").alias("name")).agg(F.sum("f").alias("f"))
+    longer = flows.filter("words > 1").select("name", "words", "f")
+    return materialise(longer.unionByName(words.withColumn("words", F.lit(1))).filter(F.col("f") >= least), "stretch-counts")
 
 
 # --- phrases ---------------------------------------------------------------------------------
@@ -274,27 +282,13 @@ def stretch_counts(texts: DataFrame, least: int = LEAST) -> DataFrame:
 PARTS = "name long, words int, lang string, phrase string, heads array<long>, tails array<long>, inner_pair long"
 
 
-def _name_bits(counts: DataFrame):
-    """Broadcast filter of 2^NAME_BITS bits for the frequent stretches of two or more words."""
-    place = F.shiftrightunsigned("name", 64 - NAME_BITS)
-    page = counts.filter("words > 1").select(place.alias("place")).groupBy(F.shiftright("place", 15).alias("page")).agg(
-        F.expr("bitmap_construct_agg(place % 32768)").alias("bits")
-    )
-    table = np.zeros(1 << (NAME_BITS - 3), np.uint8)
-    for row in page.collect():  # at most 2^(NAME_BITS - 15) rows of 4096 bytes
-        table[row["page"] * 4096 : (row["page"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
-    # Spark's bitmaps count bits of a byte from the lowest one, numpy's from the highest.
-    table = np.packbits(np.unpackbits(table, bitorder="little"))
-    return counts.sparkSession.sparkContext.broadcast(table)
-
-
 def found_again(texts: DataFrame, counts: DataFrame) -> DataFrame:
     """Frequent stretches of two or more words with their text and the names of their parts.
 
     ``heads`` and ``tails`` name the first and the last 1, 2... words; ``inner_pair`` is the middle of four words.
     Rows with words 0 hold the number of words of a language in ``name``.
     """
-    wanted = _name_bits(counts)
+    wanted = bit_table(counts.filter("words > 1"), NAME_BITS)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()

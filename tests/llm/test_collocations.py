@@ -95,6 +95,17 @@ def test_nothing_frequent_and_nothing_at_all(spark):
     assert co.collocations(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_runs_go_on_in_the_next_batch(spark):
+    """Flows of batches of a few rows: runs of a node or an edge span many of them."""
+    rows = documents(6)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = outcome(co.collocations(frame(spark, rows[:40]), least=3))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == brute(rows[:40], 3, 2000)
+
+
 def test_one_long_text(spark):
     rows = [("lorem ipsum dolor sit " * 60000 + "amet", "en")]
     assert outcome(co.collocations(frame(spark, rows))) == brute(rows, 30, 2000)
@@ -104,7 +115,6 @@ def test_pruned_pairs_do_not_change_counts(spark, monkeypatch):
     """With a table of few buckets nearly nothing is cut off; the rows stay the same."""
     rows = documents(4)
     whole = outcome(co.collocations(frame(spark, rows), least=6))
-    monkeypatch.setattr(co, "PAIR_BITS", 13)
-    monkeypatch.setattr(co, "GROUP_BITS", 10)
-    monkeypatch.setattr(co, "NAME_BITS", 16)
+    monkeypatch.setattr(co, "PAIR_BITS", 3)
+    monkeypatch.setattr(co, "NAME_BITS", 4)
     assert outcome(co.collocations(frame(spark, rows), least=6)) == whole
