@@ -10,20 +10,17 @@ from the graph:
 
 and again for two words from the nodes that begin with them, and for one word from these.
 
-1. *Pruning.* Pairs of neighbouring words are counted by name, and the frequent ones set bits of a table of fixed
-   size. A pair whose bit is not set is in no candidate, and places before it emit what is left of the
-   stretch as a correction. No count changes by this, only long stretches that can't matter are
-   never shuffled. If a corpus outgrows the table, fewer stretches are cut off; results stay the same.
-2. *Graph.* Stretches are 64-bit names by level, combined in a task before they are shuffled, so a very
-   frequent stretch is one row per task.
-3. *Phrases.* Frequent stretches are read back from the texts by name, with the names of their
-   parts. Their scores, and what lies in longer ones, are joins and aggregates over frequent stretches alone.
-4. *Compaction.* A node whose one incoming and one outgoing edge weigh as much as itself lies inside a
+1. *Graph.* Stretches are counted in a task and shuffled packed, so a very frequent stretch is one entry per
+   task and portion of its texts. They are dealt by their first two words; pairs that a sample of the texts shows to be
+   very frequent are dealt by three, so none of them is one task. That choice places rows and changes no result. A
+   task sorts its stretches: an edge, a node and a pair are runs of them, and each run's sum is the flow out of it.
+   The flow into single words is summed where the stretches are counted, as sums of sums.
+2. *Scores.* Names are 64-bit hashes of (language, words) that follow from the names of the words, so a frequent
+   stretch knows the names of all its parts; scores and containment are joins over frequent stretches alone.
+3. *Compaction.* A node whose one incoming and one outgoing edge weigh as much as itself lies inside a
    unary path: the same words always surround it. Paths are merged by pointer jumping
    (``passages`` returns them whole); their inner nodes are part of a longer stretch with the same count and drop out.
-
-Names are 64-bit hashes of (language, words); two frequent stretches with one name would be
-found in step 3 and raise an error.
+4. *Texts.* The phrases that remain are read back from the texts by name. Two phrases with one name would raise an error.
 
 Defined cases: null texts are empty; null languages count as ``und``. Every row counts, also
 when its doc_id is null or repeats. An empty table gives no rows. Other columns, whatever their names, are ignored.
@@ -37,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
 
-from demandloom.llm.words import BYTE_POWERS, BYTE_VALUES, CHUNK_BYTES, mix, signed, stretch_names, window_names
+from demandloom.llm.words import BYTE_POWERS, BYTE_VALUES, CHUNK_BYTES, mix, multipliers, signed, stretch_names, window_names
 from demandloom.sources.storage import freeze, materialise
 
 LEAST = 30
@@ -47,9 +44,11 @@ SCALE = 2_000_000
 CONTAINED = (100, 80)  # dropped if 100 * f(longer) >= 80 * f(phrase)
 UNKNOWN = "und"
 
-PAIR_BITS = 28            # the table of frequent pairs has 2^28 bits
-NAME_BITS = 26            # that by which frequent stretches are found again has 2^26
-HELD = 1 << 19            # rows that a task combines before it sends them on
+NAME_BITS = 26            # the table by which phrases are found again has 2^26 bits
+HELD = 1 << 20            # stretches that a task combines before it sends them on
+GROUPS = 1 << 10          # packed rows of a portion, at least
+SAMPLED = 2000            # texts that show which pairs are very frequent
+HOT_SHARE = 1000          # those with more than 1 / HOT_SHARE of the sample's words, so at most as many
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -87,6 +86,14 @@ class Stretches:
         result[self.left < width] = 0
         return result
 
+    def longest(self) -> np.ndarray:
+        """The words of the longest stretch at every word, 0 beyond it."""
+        rows = np.zeros((len(self.words), MOST_WORDS), np.uint64)
+        for n in range(MOST_WORDS):
+            rows[: max(0, len(rows) - n), n] = self.words[n:]
+            rows[self.left <= n, n] = 0
+        return rows
+
     def phrase(self, at: int, width: int) -> str:
         return b" ".join(self.data[self.begin[i] : self.end[i]].tobytes() for i in range(at, at + width)).decode("utf-8", "replace")
 
@@ -117,238 +124,231 @@ def _input(docs: DataFrame) -> DataFrame:
     )
 
 
-def _combined(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct rows of ``keys`` with their summed counts."""
-    if keys.ndim == 1:
-        found, place = np.unique(keys, return_inverse=True)
-    else:
-        order = np.lexsort(keys.T)
-        keys, counts = keys[order], counts[order]
-        new = np.ones(len(keys), bool)
-        new[1:] = (keys[1:] != keys[:-1]).any(axis=1)
-        found, place = keys[new], np.cumsum(new) - 1
-    return found, np.bincount(place, weights=counts, minlength=len(found)).astype(np.int64)
-
-
-def _held(rows: Iterator[tuple[np.ndarray, np.ndarray]], most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows with counts, combined in portions of a task; a portion stays while it shrinks."""
-    keys, counts, size = [], [], 0
-    for key, count in rows:
-        keys.append(key)
-        counts.append(count)
-        size += len(key)
-        if size >= most:
-            key, count = _combined(np.concatenate(keys), np.concatenate(counts))
-            if len(key) > most // 2:
-                yield key, count
-                keys, counts, size = [], [], 0
-            else:
-                keys, counts, size = [key], [count], len(key)
-    if size:
-        yield _combined(np.concatenate(keys), np.concatenate(counts))
-
-
-# --- pruning --------------------------------------------------------------------------------
+def stretch_name(words: np.ndarray) -> np.ndarray:
+    """The names of stretches given as rows of words."""
+    total = np.zeros(len(words), np.uint64)
+    for k, factor in enumerate(multipliers(words.shape[1], words.shape[1])):
+        total += words[:, k] * factor
+    return mix(total)
 
-def bit_table(names: DataFrame, bits: int):
-    """Broadcast table of 2^bits bits, set at the hash prefix of every name."""
-    place = F.shiftrightunsigned("name", 64 - bits)
-    pages = names.select(place.alias("place")).groupBy(F.shiftright("place", 15).alias("page")).agg(
-        F.expr("bitmap_construct_agg(place % 32768)").alias("bits")
-    )
-    table = np.zeros(max(4096, 1 << (bits - 3)), np.uint8)
-    for row in pages.collect():  # at most 2^(bits - 15) rows of 4096 bytes
-        table[row["page"] * 4096 : (row["page"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
-    return names.sparkSession.sparkContext.broadcast(table)
 
+# --- graph ----------------------------------------------------------------------------------
 
-def _has(table: np.ndarray, names: np.ndarray, bits: int) -> np.ndarray:
-    place = (names >> np.uint64(64 - bits)).astype(np.int64)
-    return (table[place >> 3] >> (place & 7).astype(np.uint8)) & 1 != 0  # Spark's bitmaps count from the lowest bit
+WORDS = [f"word_{n}" for n in range(1, MOST_WORDS + 1)]
+PACKED = ["word_1", "word_2", "word_3", "word_4", "counts"]
 
 
-def frequent_pairs(texts: DataFrame, least: int = LEAST):
-    """Broadcast table of the pairs with at least ``least`` occurrences: 2^PAIR_BITS bits whatever the corpus."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            for chunk in chunks(batches, CHUNK_BYTES):
-                names = chunk.names(2)
-                names = names[names != 0]
-                yield names, np.ones(len(names), np.int64)
+def hot_pairs(texts: DataFrame) -> np.ndarray:
+    """Names of pairs that hold more than 1 / HOT_SHARE of the words of a bounded sample, sorted."""
+    rows = texts.count()
 
-        for names, counts in _held(rows(), HELD):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in chunks(batches, CHUNK_BYTES):
+            names, counts = np.unique(chunk.names(2), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(signed(names)), pa.array(counts)], ["name", "count"])
 
-    pairs = texts.mapInArrow(count, "name long, count long").groupBy("name").agg(F.sum("count").alias("f"))
-    return bit_table(pairs.filter(F.col("f") >= least), PAIR_BITS)
-
+    sample = texts.sample(False, min(1.0, SAMPLED / max(rows, 1)), 1)
+    pairs = materialise(sample.mapInArrow(count, "name long, count long").groupBy("name").agg(F.sum("count").alias("count")), "sampled-pairs")
+    often = F.col("count") * HOT_SHARE > pairs.agg(F.sum("count")).scalar()  # name 0 counts the words without a pair
+    found = [r["name"] for r in pairs.filter(often & (F.col("name") != 0)).collect()]
+    return np.sort(np.array(found, np.int64).view(np.uint64))
 
-# --- graph ----------------------------------------------------------------------------------
 
-LEVELS = [f"name_{n}" for n in range(1, MOST_WORDS + 1)]
+def _groups(words: np.ndarray, hot: np.ndarray, bits: int) -> np.ndarray:
+    """The group of every stretch, by its first word if it has only one, else by two or three."""
+    pair = stretch_name(words[:, :2])
+    deal = np.where(words[:, 1] == 0, mix(words[:, 0]), pair)
+    if len(hot):
+        is_hot = hot[np.minimum(np.searchsorted(hot, pair), len(hot) - 1)] == pair
+        deal = np.where(is_hot, stretch_name(words[:, :3]), deal)
+    return deal >> np.uint64(64 - bits)
 
 
-def longest_stretches(texts: DataFrame, pairs) -> DataFrame:
-    """name_1 .. name_4, count: the longest stretch at every place.
+def packed_stretches(texts: DataFrame, hot: np.ndarray, bits: int) -> DataFrame:
+    """group, lang and packed columns: the longest stretches of a portion of a task, combined.
 
-    A row with name_4 is an edge, the others are corrections and have 0 there. Those of one or two
-    words repeat their own name as name_3, by which rows are dealt to tasks; name_2 is 0 for one word.
+    Stretches of one word carry all occurrences of the word, as the sum of what flows into it.
     """
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            for chunk in chunks(batches, CHUNK_BYTES):
-                one, two = chunk.names(1), chunk.names(2)
-                go_on = (two != 0) & _has(pairs.value, two, PAIR_BITS)
-                keys = np.zeros((len(two), MOST_WORDS), np.uint64)
-                keys[:, 0] = one
-                reach = go_on
-                for n in range(2, MOST_WORDS + 1):
-                    keys[:, n - 1] = np.where(reach, chunk.names(n), 0)
-                    following = np.zeros(len(two), bool)
-                    following[: max(0, len(two) - n + 1)] = go_on[n - 1 :]
-                    reach = reach & following
-                keys[:, 2] = np.where(keys[:, 2] != 0, keys[:, 2], np.where(keys[:, 1] != 0, keys[:, 1], one))
-                yield _combined(keys, np.ones(len(keys), np.int64))
-
-        for keys, counts in _held(rows(), HELD):
-            yield pa.RecordBatch.from_arrays([*[pa.array(signed(keys[:, n])) for n in range(MOST_WORDS)], pa.array(counts)], [*LEVELS, "count"])
-
-    return texts.mapInArrow(count, ", ".join(f"{n} long" for n in LEVELS) + ", count long")
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def send(parts: list[tuple[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+            for language in sorted({x for x, _ in parts}):
+                rows = np.concatenate([r for x, r in parts if x == language])
+                alone = np.zeros_like(rows)
+                alone[:, 0] = rows[:, 0]
+                rows = np.concatenate([rows[rows[:, 1] != 0], alone])
+                group = _groups(rows, hot, bits)
+                # Equal stretches lie together, then those with the same beginning: that packs best.
+                key = group << np.uint64(64 - bits) | mix(rows[:, 0]) >> np.uint64(44) << np.uint64(64 - bits - 20)
+                key |= stretch_name(rows) >> np.uint64(bits + 20)
+                order = np.argsort(key)
+                rows, group = rows[order], group[order]
+                starts = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)]))
+                counts = np.diff(np.append(starts, len(rows))).astype(np.uint32)
+                rows, group = rows[starts], group[starts]
+                cuts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+                ends = np.append(cuts[1:], len(group))
+                columns = [*(np.ascontiguousarray(rows[:, n]) for n in range(MOST_WORDS)), counts]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(group[cuts].astype(np.int32)), pa.array([language] * len(cuts), pa.string()),
+                    *[pa.array([c[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()) for c in columns],
+                ], ["group", "lang", *PACKED])
+
+        parts, size = [], 0
+        for chunk in chunks(batches, CHUNK_BYTES):
+            rows, of = chunk.longest(), np.array(chunk.languages, object)[chunk.text]
+            for language in set(chunk.languages):
+                own = rows[of == language]
+                if len(own):
+                    parts.append((language, own))
+            size += len(rows)
+            if size >= HELD:
+                yield from send(parts)
+                parts, size = [], 0
+        if size:
+            yield from send(parts)
+
+    return texts.mapInArrow(pack, "group int, lang string, " + ", ".join(f"{c} binary" for c in PACKED))
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in range(batch.num_rows):
+            columns = [np.frombuffer(batch.column(c)[row].as_buffer(), np.uint32 if c == "counts" else np.int64) for c in PACKED]
+            n = len(columns[0])
+            yield pa.RecordBatch.from_arrays([pa.array([batch.column("lang")[row].as_py()] * n, pa.string()), *map(pa.array, columns[:4]), pa.array(columns[4].astype(np.int64))], ["lang", *WORDS, "count"])
 
 
-FLOWS = "words int, name_1 long, name long, f long"
+FLOWS = "lang string, words int, name long, heads array<long>, tails array<long>, inner_pair long, f long"
 
 
-def _node_flows(least: int):
-    """Weights of frequent edges and nodes, and what flows on to pairs and words.
+def _flows(least: int, hot: np.ndarray):
+    """Edges, nodes, pairs and words with at least ``least`` occurrences, from sorted stretches.
 
-    Rows arrive sorted by (name_3, name_4), so an edge and a node are runs; a run that goes on in
-    the next batch is carried over as one row.
+    An edge, a node and a pair are runs of rows. A run that goes on in the next batch is carried over as
+    one row. Of hot pairs a task sees a part only, so these come in any number. Rows with words 0 are
+    the words of a language.
     """
     def flows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_edge, held_node = np.zeros((0, 5), np.int64), np.zeros((0, 5), np.int64)
+        held = {n: (np.zeros((0, MOST_WORDS), np.uint64), np.zeros(0, np.int64), np.zeros(0, object)) for n in range(1, MOST_WORDS + 1)}
+        totals: dict[str, int] = {}
 
-        def runs(rows: np.ndarray, key: int, last: bool) -> tuple[np.ndarray, np.ndarray]:
-            """(finished runs with their sums, the run that may go on)."""
+        def runs(n: int, rows, counts, languages, last: bool):
+            """Sums of the runs of equal first n words; what has fewer words is no run of this level."""
+            held_rows, held_counts, held_languages = held[n]
+            fits = (rows[:, 1] == 0) if n == 1 else (rows[:, n - 1] != 0)
+            rows, counts, languages = (np.concatenate(x) for x in ((held_rows, rows[fits]), (held_counts, counts[fits]), (held_languages, languages[fits])))
             if not len(rows):
-                return rows, rows
-            change = rows[1:, 2] != rows[:-1, 2]
-            if key == 3:
-                change = change | (rows[1:, 3] != rows[:-1, 3])
-            starts = np.flatnonzero(np.concatenate([[True], change]))
-            summed = rows[starts]
-            summed[:, 4] = np.add.reduceat(rows[:, 4], starts)
-            return (summed, summed[:0]) if last else (summed[:-1], summed[-1:])
-
-        def emit(edges: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
-            edges = edges[(edges[:, 3] != 0) & (edges[:, 4] >= least)]
-            one = nodes[:, 1] == 0
-            three = (nodes[:, 2] != nodes[:, 1]) & ~one
-            often = nodes[three & (nodes[:, 4] >= least)]
-            parts = [(4, edges[:, 0], edges[:, 3], edges[:, 4]), (3, often[:, 0], often[:, 2], often[:, 4]),
-                     (2, nodes[~one, 0], nodes[~one, 1], nodes[~one, 4]), (1, nodes[one, 0], nodes[one, 0], nodes[one, 4])]
-            return pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([np.full(len(p[1]), p[0], np.int32) for p in parts])),
-                *[pa.array(np.concatenate([p[k] for p in parts])) for k in (1, 2, 3)],
-            ], ["words", "name_1", "name", "f"])
+                return rows, counts, languages
+            starts = np.flatnonzero(np.concatenate([[True], (rows[1:, :n] != rows[:-1, :n]).any(axis=1)]))
+            rows, counts, languages = rows[starts], np.add.reduceat(counts, starts), languages[starts]
+            keep = len(rows) if last else len(rows) - 1
+            held[n] = rows[keep:], counts[keep:], languages[keep:]
+            return rows[:keep], counts[:keep], languages[:keep]
+
+        def emit(rows, counts, languages, last: bool) -> Iterator[pa.RecordBatch]:
+            for n in held:
+                own, f, of = runs(n, rows, counts, languages, last)
+                if n == 1:
+                    for language in set(of.tolist()):
+                        totals[language] = totals.get(language, 0) + int(f[of == language].sum())
+                enough = f >= least
+                if n == 2 and len(hot) and len(own):
+                    pair = stretch_name(own[:, :2])
+                    enough |= hot[np.minimum(np.searchsorted(hot, pair), len(hot) - 1)] == pair
+                own, f, of = own[enough, :n], f[enough], of[enough]
+                if len(own):
+                    parts = lambda f: pa.array(np.stack([signed(f(k)) for k in range(1, n)], axis=1).tolist() if n > 1 else [[]] * len(own), pa.list_(pa.int64()))
+                    inner = signed(stretch_name(own[:, 1:3])) if n == 4 else np.zeros(len(own), np.int64)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(of.tolist(), pa.string()), pa.array(np.full(len(own), n, np.int32)), pa.array(signed(stretch_name(own))),
+                        parts(lambda k: stretch_name(own[:, :k])), parts(lambda k: stretch_name(own[:, n - k :])), pa.array(inner), pa.array(f),
+                    ], ["lang", "words", "name", "heads", "tails", "inner_pair", "f"])
 
         for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy() for c in [*LEVELS, "count"]], axis=1)
-            edges, held_edge = runs(np.concatenate([held_edge, rows]), 3, False)
-            nodes, held_node = runs(np.concatenate([held_node, rows]), 2, False)
-            yield emit(edges, nodes)
-        yield emit(runs(held_edge, 3, True)[0], runs(held_node, 2, True)[0])
+            rows = np.stack([batch.column(c).to_numpy() for c in WORDS], axis=1).view(np.uint64)
+            yield from emit(rows, batch.column("count").to_numpy(), np.array(batch.column("lang").to_pylist(), object), False)
+        yield from emit(np.zeros((0, MOST_WORDS), np.uint64), np.zeros(0, np.int64), np.zeros(0, object), True)
+        blank = [0] * len(totals)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(list(totals), pa.string()), pa.array(blank, pa.int32()), pa.array(blank, pa.int64()), pa.array([[]] * len(totals), pa.list_(pa.int64())),
+            pa.array([[]] * len(totals), pa.list_(pa.int64())), pa.array(blank, pa.int64()), pa.array(list(totals.values()), pa.int64()),
+        ], ["lang", "words", "name", "heads", "tails", "inner_pair", "f"])
     return flows
 
 
-def stretch_counts(texts: DataFrame, least: int = LEAST) -> DataFrame:
-    """name, words, f: every stretch of 1 to 4 words with at least ``least`` occurrences.
-
-    Each level is the flow of the level above: the counts of the stretches that begin with it,
-    corrections included. Edges meet at their node, whose rows are one per task and
-    following word; pairs and words are sums that combine before their shuffle.
-    """
-    stretches = longest_stretches(texts, frequent_pairs(texts, least))
+def stretch_flows(texts: DataFrame, least: int = LEAST) -> DataFrame:
+    """Every stretch of 1 to 4 words with at least ``least`` occurrences, and with words 0 the languages' sizes."""
+    hot = hot_pairs(texts)
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = stretches.repartition(parts, "name_3").sortWithinPartitions("name_3", "name_4")
-    flows = materialise(dealt.mapInArrow(_node_flows(least), FLOWS).groupBy("words", "name_1", "name").agg(F.sum("f").alias("f")), "stretch-flows")
-    words = flows.filter("words < 3").groupBy(F.col("name_1").alias("name")).agg(F.sum("f").alias("f"))
-    longer = flows.filter("words > 1").select("name", "words", "f")
-    return materialise(longer.unionByName(words.withColumn("words", F.lit(1))).filter(F.col("f") >= least), "stretch-counts")
+    bits = min(16, max(GROUPS, 4 * parts).bit_length())
+    dealt = packed_stretches(texts, hot, bits).repartition(parts, "group").mapInArrow(_unpack, "lang string, " + ", ".join(f"{w} long" for w in WORDS) + ", count long")
+    # Language is part of a word's name, so words alone order the rows.
+    flows = dealt.sortWithinPartitions(*WORDS).mapInArrow(_flows(least, hot), FLOWS)
+    own = [F.first(c).alias(c) for c in ("heads", "tails", "inner_pair")]
+    return materialise(flows.groupBy("lang", "words", "name").agg(*own, F.sum("f").alias("f")).filter(F.col("f") >= F.when(F.col("words") == 0, 0).otherwise(least)), "stretch-flows")
 
 
 # --- phrases ---------------------------------------------------------------------------------
 
-PARTS = "name long, words int, lang string, phrase string, heads array<long>, tails array<long>, inner_pair long"
+def bit_table(names: DataFrame, bits: int):
+    """Broadcast table of 2^bits bits, set at the hash prefix of every name."""
+    place = F.shiftrightunsigned("name", 64 - bits)
+    pages = names.select(place.alias("place")).groupBy(F.shiftright("place", 15).alias("page")).agg(
+        F.expr("bitmap_construct_agg(place % 32768)").alias("bits")
+    )
+    table = np.zeros(max(4096, 1 << (bits - 3)), np.uint8)
+    for row in pages.collect():  # at most 2^(bits - 15) rows of 4096 bytes
+        table[row["page"] * 4096 : (row["page"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
+    return names.sparkSession.sparkContext.broadcast(table)
 
 
-def found_again(texts: DataFrame, counts: DataFrame) -> DataFrame:
-    """Frequent stretches of two or more words with their text and the names of their parts.
+def _has(table: np.ndarray, names: np.ndarray, bits: int) -> np.ndarray:
+    place = (names >> np.uint64(64 - bits)).astype(np.int64)
+    return (table[place >> 3] >> (place & 7).astype(np.uint8)) & 1 != 0  # Spark's bitmaps count from the lowest bit
 
-    ``heads`` and ``tails`` name the first and the last 1, 2... words; ``inner_pair`` is the middle of four words.
-    Rows with words 0 hold the number of words of a language in ``name``.
-    """
-    wanted = bit_table(counts.filter("words > 1"), NAME_BITS)
+
+def with_phrases(texts: DataFrame, stretches: DataFrame) -> DataFrame:
+    """``stretches`` with their text, read back from all texts by name."""
+    wanted = bit_table(stretches, NAME_BITS)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        totals: dict[str, int] = {}
-        fields = ["name", "words", "lang", "phrase", "heads", "tails", "inner_pair"]
-        kinds = [pa.int64(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64()]
         for chunk in chunks(batches, CHUNK_BYTES):
-            names = [None, *[chunk.names(n) for n in range(1, MOST_WORDS + 1)]]
-            by_text = np.bincount(chunk.text, minlength=len(chunk.languages))
-            for language, n in zip(chunk.languages, by_text.tolist()):
-                totals[language] = totals.get(language, 0) + n
-            columns = [[] for _ in fields]
+            names, phrases = [], []
             for n in range(2, MOST_WORDS + 1):
-                own = np.flatnonzero((names[n] != 0) & _has(wanted.value, names[n], NAME_BITS))
-                distinct, first = np.unique(names[n][own], return_index=True)
-                for name, at in zip(distinct.tolist(), own[first].tolist()):
-                    if name in seen:
-                        continue
-                    seen.add(name)
-                    heads = [int(names[k][at]) for k in range(1, n)]
-                    tails = [int(names[k][at + n - k]) for k in range(1, n)]
-                    inner = int(names[2][at + 1]) if n == 4 else 0
-                    for column, value in zip(columns, [name, n, chunk.languages[chunk.text[at]], chunk.phrase(at, n), heads, tails, inner]):
-                        column.append(value)
+                own = chunk.names(n)
+                at = np.flatnonzero((own != 0) & _has(wanted.value, own, NAME_BITS))
+                distinct, first = np.unique(own[at], return_index=True)
+                for name, place in zip(distinct.tolist(), at[first].tolist()):
+                    if name not in seen:
+                        seen.add(name)
+                        names.append(name)
+                        phrases.append(chunk.phrase(place, n))
             if len(seen) > HELD:
                 seen.clear()
-            if columns[0]:
-                as_long = lambda values: signed(np.array(values, np.uint64))
-                columns[0], columns[6] = as_long(columns[0]), as_long(columns[6])
-                columns[4], columns[5] = [[as_long(v) for v in c] for c in columns[4:6]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], fields)
-        if totals:
-            blank = [None] * len(totals)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(
-                [list(totals.values()), [0] * len(totals), list(totals), blank, blank, blank, blank], kinds)], fields)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(np.array(names, np.uint64))), pa.array(phrases, pa.string())], ["name", "phrase"])
 
-    return texts.mapInArrow(find, PARTS)
+    found = texts.mapInArrow(find, "name long, phrase string").join(stretches.select("name"), "name", "left_semi")
+    one = found.groupBy("name").agg(F.min("phrase").alias("phrase"), F.max("phrase").alias("other"))
+    clash = F.raise_error(F.lit("two phrases share a name")).cast("string")
+    return stretches.join(one.select("name", F.when(F.col("phrase") == F.col("other"), F.col("phrase")).otherwise(clash).alias("phrase")), "name")
 
 
 class Graph:
     """Frequent stretches of a corpus, written once."""
 
     def __init__(self, docs: DataFrame, least: int = LEAST):
-        texts = _input(docs)
-        self.counts = stretch_counts(texts, least)
-        found = materialise(found_again(texts, self.counts), "stretch-texts")
-        self.sizes = found.filter("words = 0").groupBy("lang").agg(F.sum("name").alias("n"))
-        same = found.filter("words > 0").groupBy("name").agg(
-            *[F.min(c).alias(c) for c in ("words", "lang", "phrase", "heads", "tails", "inner_pair")],
-            F.max(F.struct("words", "lang", "phrase")).alias("other"),
-        )
-        clash = F.struct("words", "lang", "phrase") != F.col("other")
-        checked = same.withColumn("words", F.when(clash, F.raise_error(F.lit("two stretches share a name")).cast("int")).otherwise(F.col("words"))).drop("other")
-        self.phrases = materialise(checked.join(self.counts.select("name", "f"), "name"), "stretch-parts")
+        self.texts = _input(docs)
+        flows = stretch_flows(self.texts, least)
+        self.sizes = flows.filter("words = 0").select("lang", F.col("f").alias("n"))
+        self.counts = flows.filter("words > 0")
+        self.phrases = flows.filter("words > 1")
 
     @property
     def edges(self) -> DataFrame:
-        """name, lang, phrase, source, target, f: the four-word stretches between their nodes."""
+        """name, lang, source, target, f: the four-word stretches between their nodes."""
         return self.phrases.filter(F.col("words") == MOST_WORDS).select(
-            "name", "lang", "phrase", F.col("heads")[MOST_WORDS - 2].alias("source"), F.col("tails")[MOST_WORDS - 2].alias("target"), "f"
+            "name", "lang", F.col("heads")[MOST_WORDS - 2].alias("source"), F.col("tails")[MOST_WORDS - 2].alias("target"), "f"
         )
 
     @property
@@ -384,7 +384,7 @@ def unary_paths(graph: Graph) -> DataFrame:
 
 def passages(graph: Graph) -> DataFrame:
     """lang, phrase, words, f: the compacted paths as whole phrases of four or more words."""
-    steps = unary_paths(graph).join(graph.edges.withColumnRenamed("name", "edge"), "edge")
+    steps = unary_paths(graph).join(with_phrases(graph.texts, graph.edges).withColumnRenamed("name", "edge"), "edge")
     # Only an edge's last word is new after the path's first edge.
     word = F.when(F.col("step") == 0, F.col("phrase")).otherwise(F.element_at(F.split("phrase", " "), -1))
     return steps.groupBy("head").agg(
@@ -409,7 +409,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, scale: int
     graph = Graph(docs, least)
     inside = unary_paths(graph).filter("step > 0").select(F.col("edge").alias("name")).join(graph.edges, "name").select(F.col("source").alias("name"))
     kept = graph.phrases.join(inside, "name", "left_anti").join(_contained(graph, contained), "name", "left_anti")
-    cuts = kept.select("name", "lang", "phrase", F.col("f").alias("a"), F.inline(F.expr(
+    cuts = kept.select("name", "lang", F.col("f").alias("a"), F.inline(F.expr(
         "transform(sequence(1, words - 1), k -> named_struct('k', k, 'head', heads[k - 1], 'tail', tails[words - k - 1]))"
     )))
     own = graph.counts.select("name", "f")
@@ -418,9 +418,11 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, scale: int
     score = F.expr(f"(cast({scale} as decimal(10,0)) * cast(a as decimal(20,0))) div (cast(l as decimal(20,0)) + cast(r as decimal(20,0)))")
     scored = split.withColumn("score", score)
     lowest = scored.groupBy("name").agg(
-        F.first("lang").alias("lang"), F.first("phrase").alias("phrase"), F.first("a").alias("a"),
-        F.min(F.struct("score", "k", "l", "r")).alias("cut"),
-    ).select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = lowest.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+        F.first("lang").alias("lang"), F.first("a").alias("a"), F.min(F.struct("score", "k", "l", "r")).alias("cut"),
+    ).select("name", "lang", "a", "cut.l", "cut.r", "cut.score")
+    # Phrases only break ties: those that can be among the first are found by score and count, then read back.
+    order = [F.desc("score"), F.desc("a")]
+    first = materialise(lowest.withColumn("place", F.rank().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("place") <= top).drop("place"), "best-phrases")
+    best = Window.partitionBy("lang").orderBy(*order, "phrase")
+    ranked = with_phrases(graph.texts, first).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
     return ranked.join(graph.sizes, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

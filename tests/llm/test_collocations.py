@@ -78,7 +78,7 @@ def test_flows_are_the_counts_of_every_level(spark):
     rows = documents(9)
     graph = co.Graph(frame(spark, rows), least=4)
     expected = {(lang, " ".join(p)): a for lang, own in counted(rows)[0].items() for p, a in own.items() if len(p) > 1 and a >= 4}
-    assert {(r["lang"], r["phrase"]): r["f"] for r in graph.phrases.collect()} == expected
+    assert {(r["lang"], r["phrase"]): r["f"] for r in co.with_phrases(graph.texts, graph.phrases).collect()} == expected
 
 
 def test_unary_paths_become_whole_passages(spark):
@@ -111,10 +111,11 @@ def test_one_long_text(spark):
     assert outcome(co.collocations(frame(spark, rows))) == brute(rows, 30, 2000)
 
 
-def test_pruned_pairs_do_not_change_counts(spark, monkeypatch):
-    """With a table of few buckets nearly nothing is cut off; the rows stay the same."""
+def test_placement_and_full_tables_do_not_change_rows(spark, monkeypatch):
+    """All pairs hot or none, and a table of names with nearly all bits set."""
     rows = documents(4)
-    whole = outcome(co.collocations(frame(spark, rows), least=6))
-    monkeypatch.setattr(co, "PAIR_BITS", 3)
-    monkeypatch.setattr(co, "NAME_BITS", 4)
-    assert outcome(co.collocations(frame(spark, rows), least=6)) == whole
+    expected = brute(rows, 6, 2000)
+    for share in (1, 10**9):
+        monkeypatch.setattr(co, "HOT_SHARE", share)
+        monkeypatch.setattr(co, "NAME_BITS", 4)
+        assert outcome(co.collocations(frame(spark, rows), least=6)) == expected
