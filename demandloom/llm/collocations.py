@@ -11,9 +11,10 @@ from the graph:
 and again for two words from the nodes that begin with them, and for one word from these.
 
 1. *Graph.* Stretches are counted in a task and shuffled packed, so a very frequent stretch is one entry per
-   task and portion of its texts. They are dealt by their first two words; pairs that a sample of the texts shows to be
-   very frequent are dealt by three, so none of them is one task. That choice places rows and changes no result. A
-   task sorts its stretches: an edge, a node and a pair are runs of them, and each run's sum is the flow out of it.
+   task and portion of its texts. The most frequent words of a bounded sample have codes of two bytes, others eight.
+   Stretches are dealt to groups by their first two words; pairs that the sample shows to be very frequent are dealt by
+   three, so none of them is one group. Codes and groups change no result. A group
+   is sorted: an edge, a node and a pair are runs of stretches, and each run's sum is the flow out of it.
    The flow into single words is summed where the stretches are counted, as sums of sums.
 2. *Scores.* Names are 64-bit hashes of (language, words) that follow from the names of the words, so a frequent
    stretch knows the names of all its parts; scores and containment are joins over frequent stretches alone.
@@ -45,10 +46,11 @@ CONTAINED = (100, 80)  # dropped if 100 * f(longer) >= 80 * f(phrase)
 UNKNOWN = "und"
 
 NAME_BITS = 26            # the table by which phrases are found again has 2^26 bits
-HELD = 1 << 20            # stretches that a task combines before it sends them on
-GROUPS = 1 << 10          # packed rows of a portion, at least
-SAMPLED = 2000            # texts that show which pairs are very frequent
-HOT_SHARE = 1000          # those with more than 1 / HOT_SHARE of the sample's words, so at most as many
+HELD = 1 << 19            # stretches that a task combines before it sends them on
+IN_GROUP = 1 << 19        # stretches of a group that a task sorts at once, about
+SAMPLED = 2000            # texts that show which words and pairs are frequent
+CODES = (1 << 16) - 2     # words with a code
+HOT_SHARE = 1000          # pairs with more than 1 / HOT_SHARE of the sample's words are hot, so at most as many
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -61,7 +63,7 @@ _OUTSIDE[[9, 32]] = True
 class Stretches:
     """The words of several texts of one chunk, and the names of the stretches at every word."""
 
-    def __init__(self, texts: list[bytes], languages: list[str]):
+    def __init__(self, texts: list[bytes], languages: list[str], codes: np.ndarray):
         self.data = _LOWER[np.frombuffer(b"\n".join([*texts, b""]), np.uint8)]
         inside = ~_OUTSIDE[self.data]
         edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
@@ -76,7 +78,12 @@ class Stretches:
         self.languages = languages
         known = {x: _language_name(x) for x in set(languages)}
         own = np.array([known[x] for x in languages], np.uint64)
-        self.words = mix(stretch_names(BYTE_VALUES[0][self.data], BYTE_POWERS[0], self.begin, self.end) + own[self.text])
+        words = mix(stretch_names(BYTE_VALUES[0][self.data], BYTE_POWERS[0], self.begin, self.end) + own[self.text])
+        words |= np.uint64(1 << 63)
+        if len(codes):
+            place = np.minimum(np.searchsorted(codes, words), len(codes) - 1)
+            words = np.where(codes[place] == words, (place + 1).astype(np.uint64), words)
+        self.words = words
 
     def names(self, width: int) -> np.ndarray:
         """The name of the stretch of ``width`` words at every word; 0 where the piece is too short."""
@@ -103,7 +110,7 @@ def _language_name(language: str) -> int:
     return int(mix(np.array([int.from_bytes(data[i : i + 8], "little") + (len(data) << 56) & (1 << 64) - 1 for i in range(0, len(data) or 1, 8)], np.uint64)).sum())
 
 
-def chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[Stretches]:
+def chunks(batches: Iterator[pa.RecordBatch], codes: np.ndarray, most: int) -> Iterator[Stretches]:
     """The rows of a task in chunks of about ``most`` bytes of text; a longer text comes alone."""
     texts, languages, size = [], [], 0
     for batch in batches:
@@ -112,10 +119,10 @@ def chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[Stretches]:
             languages.append(language)
             size += len(texts[-1])
             if size >= most:
-                yield Stretches(texts, languages)
+                yield Stretches(texts, languages, codes)
                 texts, languages, size = [], [], 0
     if texts:
-        yield Stretches(texts, languages)
+        yield Stretches(texts, languages, codes)
 
 
 def _input(docs: DataFrame) -> DataFrame:
@@ -134,67 +141,98 @@ def stretch_name(words: np.ndarray) -> np.ndarray:
 
 # --- graph ----------------------------------------------------------------------------------
 
-WORDS = [f"word_{n}" for n in range(1, MOST_WORDS + 1)]
-PACKED = ["word_1", "word_2", "word_3", "word_4", "counts"]
+class Plan:
+    """What a bounded sample says about codes and groups."""
 
+    def __init__(self, texts: DataFrame):
+        rows = texts.count()
+        share = min(1.0, SAMPLED / max(rows, 1))
 
-def hot_pairs(texts: DataFrame) -> np.ndarray:
-    """Names of pairs that hold more than 1 / HOT_SHARE of the words of a bounded sample, sorted."""
-    rows = texts.count()
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for chunk in chunks(batches, np.zeros(0, np.uint64), CHUNK_BYTES):
+                names, counts = np.unique(chunk.words, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(names)), pa.array(counts)], ["name", "count"])
 
+        sample = materialise(texts.sample(False, share, 1), "sampled-texts")
+        found = sample.mapInArrow(count, "name long, count long").groupBy("name").agg(F.sum("count").alias("count"))
+        words = found.orderBy(F.desc("count"), "name").limit(CODES)
+        self.codes = np.sort(np.array([r["name"] for r in words.collect()], np.int64).view(np.uint64))
+        total = found.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+        self.bits = min(20, max(10, int(total / share / IN_GROUP).bit_length()))
+        # Names of pairs follow from the codes, so pairs are counted again under them.
+        pairs = sample_pairs(sample, self.codes).filter(F.col("count") * HOT_SHARE > total)
+        self.hot = np.sort(np.array([r["name"] for r in pairs.collect()], np.int64).view(np.uint64))  # at most HOT_SHARE
+
+
+def sample_pairs(sample: DataFrame, codes: np.ndarray) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, CHUNK_BYTES):
-            names, counts = np.unique(chunk.names(2), return_counts=True)
+        for chunk in chunks(batches, codes, CHUNK_BYTES):
+            names = chunk.names(2)
+            names, counts = np.unique(names[names != 0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(signed(names)), pa.array(counts)], ["name", "count"])
 
-    sample = texts.sample(False, min(1.0, SAMPLED / max(rows, 1)), 1)
-    pairs = materialise(sample.mapInArrow(count, "name long, count long").groupBy("name").agg(F.sum("count").alias("count")), "sampled-pairs")
-    often = F.col("count") * HOT_SHARE > pairs.agg(F.sum("count")).scalar()  # name 0 counts the words without a pair
-    found = [r["name"] for r in pairs.filter(often & (F.col("name") != 0)).collect()]
-    return np.sort(np.array(found, np.int64).view(np.uint64))
+    return sample.mapInArrow(count, "name long, count long").groupBy("name").agg(F.sum("count").alias("count"))
+
+
+def _hot(pairs: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    return hot[np.minimum(np.searchsorted(hot, pairs), len(hot) - 1)] == pairs if len(hot) else np.zeros(len(pairs), bool)
 
 
 def _groups(words: np.ndarray, hot: np.ndarray, bits: int) -> np.ndarray:
     """The group of every stretch, by its first word if it has only one, else by two or three."""
     pair = stretch_name(words[:, :2])
-    deal = np.where(words[:, 1] == 0, mix(words[:, 0]), pair)
-    if len(hot):
-        is_hot = hot[np.minimum(np.searchsorted(hot, pair), len(hot) - 1)] == pair
-        deal = np.where(is_hot, stretch_name(words[:, :3]), deal)
+    deal = np.where(words[:, 1] == 0, mix(words[:, 0]), np.where(_hot(pair, hot), stretch_name(words[:, :3]), pair))
     return deal >> np.uint64(64 - bits)
 
 
-def packed_stretches(texts: DataFrame, hot: np.ndarray, bits: int) -> DataFrame:
-    """group, lang and packed columns: the longest stretches of a portion of a task, combined.
+PACKED = "group int, lang string, codes binary, others binary, counts binary"
+
+
+def packed_stretches(texts: DataFrame, plan) -> DataFrame:
+    """The longest stretches of portions of a task, combined: a row for every group, with the words of the
+    stretches column by column, two bytes each, and those without a code behind them.
 
     Stretches of one word carry all occurrences of the word, as the sum of what flows into it.
     """
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, hot, bits = plan.value
+
+        def rows_of(language: str, rows: np.ndarray, counts: np.ndarray | None) -> pa.RecordBatch:
+            group = _groups(rows, hot, bits)
+            # Equal stretches lie together, then those with the same beginning: that packs best.
+            key = group << np.uint64(64 - bits) | mix(rows[:, 0]) >> np.uint64(44) << np.uint64(44 - bits)
+            order = np.argsort(key | stretch_name(rows) >> np.uint64(bits + 20))
+            rows, group = rows[order], group[order]
+            if counts is None:
+                starts = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)]))
+                counts = np.diff(np.append(starts, len(rows)))
+                rows, group = rows[starts], group[starts]
+            else:
+                counts = counts[order]
+            known = rows < np.uint64(1 << 16)
+            small, counts = np.where(known, rows, np.uint64((1 << 16) - 1)).astype(np.uint16), counts.astype(np.uint32)
+            cuts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+            ends = np.append(cuts[1:], len(group))
+            return pa.RecordBatch.from_arrays([
+                pa.array(group[cuts].astype(np.int32)), pa.array([language] * len(cuts), pa.string()),
+                pa.array([small[a:b].T.tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+                pa.array([rows[a:b].T[~known[a:b].T].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+                pa.array([counts[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+            ], ["group", "lang", "codes", "others", "counts"])
+
         def send(parts: list[tuple[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
             for language in sorted({x for x, _ in parts}):
                 rows = np.concatenate([r for x, r in parts if x == language])
-                alone = np.zeros_like(rows)
-                alone[:, 0] = rows[:, 0]
-                rows = np.concatenate([rows[rows[:, 1] != 0], alone])
-                group = _groups(rows, hot, bits)
-                # Equal stretches lie together, then those with the same beginning: that packs best.
-                key = group << np.uint64(64 - bits) | mix(rows[:, 0]) >> np.uint64(44) << np.uint64(64 - bits - 20)
-                key |= stretch_name(rows) >> np.uint64(bits + 20)
-                order = np.argsort(key)
-                rows, group = rows[order], group[order]
-                starts = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)]))
-                counts = np.diff(np.append(starts, len(rows))).astype(np.uint32)
-                rows, group = rows[starts], group[starts]
-                cuts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-                ends = np.append(cuts[1:], len(group))
-                columns = [*(np.ascontiguousarray(rows[:, n]) for n in range(MOST_WORDS)), counts]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(group[cuts].astype(np.int32)), pa.array([language] * len(cuts), pa.string()),
-                    *[pa.array([c[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()) for c in columns],
-                ], ["group", "lang", *PACKED])
+                words, counts = np.unique(rows[:, 0], return_counts=True)
+                alone = np.zeros((len(words), MOST_WORDS), np.uint64)
+                alone[:, 0] = words
+                yield rows_of(language, alone, counts)
+                rows = rows[rows[:, 1] != 0]
+                if len(rows):
+                    yield rows_of(language, rows, None)
 
         parts, size = [], 0
-        for chunk in chunks(batches, CHUNK_BYTES):
+        for chunk in chunks(batches, codes, CHUNK_BYTES):
             rows, of = chunk.longest(), np.array(chunk.languages, object)[chunk.text]
             for language in set(chunk.languages):
                 own = rows[of == language]
@@ -207,83 +245,78 @@ def packed_stretches(texts: DataFrame, hot: np.ndarray, bits: int) -> DataFrame:
         if size:
             yield from send(parts)
 
-    return texts.mapInArrow(pack, "group int, lang string, " + ", ".join(f"{c} binary" for c in PACKED))
+    return texts.mapInArrow(pack, PACKED)
 
 
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in range(batch.num_rows):
-            columns = [np.frombuffer(batch.column(c)[row].as_buffer(), np.uint32 if c == "counts" else np.int64) for c in PACKED]
-            n = len(columns[0])
-            yield pa.RecordBatch.from_arrays([pa.array([batch.column("lang")[row].as_py()] * n, pa.string()), *map(pa.array, columns[:4]), pa.array(columns[4].astype(np.int64))], ["lang", *WORDS, "count"])
+def _unpacked(codes: bytes, others: bytes) -> np.ndarray:
+    """The words of packed stretches, a row for each."""
+    small = np.frombuffer(codes, np.uint16)
+    words = small.astype(np.uint64)
+    words[small == (1 << 16) - 1] = np.frombuffer(others, np.uint64)
+    return words.reshape(MOST_WORDS, -1).T
 
 
 FLOWS = "lang string, words int, name long, heads array<long>, tails array<long>, inner_pair long, f long"
 
 
-def _flows(least: int, hot: np.ndarray):
-    """Edges, nodes, pairs and words with at least ``least`` occurrences, from sorted stretches.
+def _flows(least: int, plan):
+    """Edges, nodes, pairs and words with at least ``least`` occurrences, from rows sorted by group and language.
 
-    An edge, a node and a pair are runs of rows. A run that goes on in the next batch is carried over as
-    one row. Of hot pairs a task sees a part only, so these come in any number. Rows with words 0 are
+    Of hot pairs a group sees a part only, so these come with any count. Rows with words 0 are
     the words of a language.
     """
+    fields = ["lang", "words", "name", "heads", "tails", "inner_pair", "f"]
+
+    def group_flows(language: str, parts: list, totals: dict[str, int]) -> Iterator[pa.RecordBatch]:
+        hot = plan.value[1]
+        rows, counts = np.concatenate([_unpacked(c, o) for c, o, _ in parts]), np.concatenate([np.frombuffer(n, np.uint32) for _, _, n in parts]).astype(np.int64)
+        order = np.lexsort(rows.T[::-1])
+        rows, counts = rows[order], counts[order]
+        alone = rows[:, 1] == 0
+        totals[language] = totals.get(language, 0) + int(counts[alone].sum())
+        for n in range(1, MOST_WORDS + 1):
+            fits = alone if n == 1 else rows[:, n - 1] != 0  # what has fewer words is no run of this level
+            own, f = rows[fits][:, :n], counts[fits]
+            if not len(own):
+                continue
+            starts = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]).any(axis=1)]))
+            own, f = own[starts], np.add.reduceat(f, starts)
+            enough = f >= least
+            if n == 2:
+                enough |= _hot(stretch_name(own), hot)
+            own, f = own[enough], f[enough]
+            parts_of = lambda cut: pa.array(np.stack([signed(stretch_name(cut(k))) for k in range(1, n)], axis=1).tolist() if n > 1 else [[]] * len(own), pa.list_(pa.int64()))  # noqa: B023, E731
+            inner = signed(stretch_name(own[:, 1:3])) if n == 4 else np.zeros(len(own), np.int64)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([language] * len(own), pa.string()), pa.array(np.full(len(own), n, np.int32)), pa.array(signed(stretch_name(own))),
+                parts_of(lambda k: own[:, :k]), parts_of(lambda k: own[:, n - k :]), pa.array(inner), pa.array(f),  # noqa: B023
+            ], fields)
+
     def flows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = {n: (np.zeros((0, MOST_WORDS), np.uint64), np.zeros(0, np.int64), np.zeros(0, object)) for n in range(1, MOST_WORDS + 1)}
         totals: dict[str, int] = {}
-
-        def runs(n: int, rows, counts, languages, last: bool):
-            """Sums of the runs of equal first n words; what has fewer words is no run of this level."""
-            held_rows, held_counts, held_languages = held[n]
-            fits = (rows[:, 1] == 0) if n == 1 else (rows[:, n - 1] != 0)
-            rows, counts, languages = (np.concatenate(x) for x in ((held_rows, rows[fits]), (held_counts, counts[fits]), (held_languages, languages[fits])))
-            if not len(rows):
-                return rows, counts, languages
-            starts = np.flatnonzero(np.concatenate([[True], (rows[1:, :n] != rows[:-1, :n]).any(axis=1)]))
-            rows, counts, languages = rows[starts], np.add.reduceat(counts, starts), languages[starts]
-            keep = len(rows) if last else len(rows) - 1
-            held[n] = rows[keep:], counts[keep:], languages[keep:]
-            return rows[:keep], counts[:keep], languages[:keep]
-
-        def emit(rows, counts, languages, last: bool) -> Iterator[pa.RecordBatch]:
-            for n in held:
-                own, f, of = runs(n, rows, counts, languages, last)
-                if n == 1:
-                    for language in set(of.tolist()):
-                        totals[language] = totals.get(language, 0) + int(f[of == language].sum())
-                enough = f >= least
-                if n == 2 and len(hot) and len(own):
-                    pair = stretch_name(own[:, :2])
-                    enough |= hot[np.minimum(np.searchsorted(hot, pair), len(hot) - 1)] == pair
-                own, f, of = own[enough, :n], f[enough], of[enough]
-                if len(own):
-                    parts = lambda f: pa.array(np.stack([signed(f(k)) for k in range(1, n)], axis=1).tolist() if n > 1 else [[]] * len(own), pa.list_(pa.int64()))
-                    inner = signed(stretch_name(own[:, 1:3])) if n == 4 else np.zeros(len(own), np.int64)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(of.tolist(), pa.string()), pa.array(np.full(len(own), n, np.int32)), pa.array(signed(stretch_name(own))),
-                        parts(lambda k: stretch_name(own[:, :k])), parts(lambda k: stretch_name(own[:, n - k :])), pa.array(inner), pa.array(f),
-                    ], ["lang", "words", "name", "heads", "tails", "inner_pair", "f"])
-
+        current, parts = None, []
         for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy() for c in WORDS], axis=1).view(np.uint64)
-            yield from emit(rows, batch.column("count").to_numpy(), np.array(batch.column("lang").to_pylist(), object), False)
-        yield from emit(np.zeros((0, MOST_WORDS), np.uint64), np.zeros(0, np.int64), np.zeros(0, object), True)
-        blank = [0] * len(totals)
+            keys = zip(batch.column("group").to_pylist(), batch.column("lang").to_pylist())
+            for row, key in enumerate(keys):
+                if key != current:
+                    if parts:
+                        yield from group_flows(current[1], parts, totals)
+                    current, parts = key, []
+                parts.append(tuple(batch.column(c)[row].as_py() for c in ("codes", "others", "counts")))
+        if parts:
+            yield from group_flows(current[1], parts, totals)
+        blank, none = [0] * len(totals), pa.array([[]] * len(totals), pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays([
-            pa.array(list(totals), pa.string()), pa.array(blank, pa.int32()), pa.array(blank, pa.int64()), pa.array([[]] * len(totals), pa.list_(pa.int64())),
-            pa.array([[]] * len(totals), pa.list_(pa.int64())), pa.array(blank, pa.int64()), pa.array(list(totals.values()), pa.int64()),
-        ], ["lang", "words", "name", "heads", "tails", "inner_pair", "f"])
+            pa.array(list(totals), pa.string()), pa.array(blank, pa.int32()), pa.array(blank, pa.int64()), none, none, pa.array(blank, pa.int64()), pa.array(list(totals.values()), pa.int64()),
+        ], fields)
     return flows
 
 
-def stretch_flows(texts: DataFrame, least: int = LEAST) -> DataFrame:
+def stretch_flows(texts: DataFrame, plan, least: int = LEAST) -> DataFrame:
     """Every stretch of 1 to 4 words with at least ``least`` occurrences, and with words 0 the languages' sizes."""
-    hot = hot_pairs(texts)
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bits = min(16, max(GROUPS, 4 * parts).bit_length())
-    dealt = packed_stretches(texts, hot, bits).repartition(parts, "group").mapInArrow(_unpack, "lang string, " + ", ".join(f"{w} long" for w in WORDS) + ", count long")
-    # Language is part of a word's name, so words alone order the rows.
-    flows = dealt.sortWithinPartitions(*WORDS).mapInArrow(_flows(least, hot), FLOWS)
+    dealt = packed_stretches(texts, plan).repartition(parts, "group").sortWithinPartitions("group", "lang")
+    flows = dealt.mapInArrow(_flows(least, plan), FLOWS)
     own = [F.first(c).alias(c) for c in ("heads", "tails", "inner_pair")]
     return materialise(flows.groupBy("lang", "words", "name").agg(*own, F.sum("f").alias("f")).filter(F.col("f") >= F.when(F.col("words") == 0, 0).otherwise(least)), "stretch-flows")
 
@@ -307,13 +340,13 @@ def _has(table: np.ndarray, names: np.ndarray, bits: int) -> np.ndarray:
     return (table[place >> 3] >> (place & 7).astype(np.uint8)) & 1 != 0  # Spark's bitmaps count from the lowest bit
 
 
-def with_phrases(texts: DataFrame, stretches: DataFrame) -> DataFrame:
+def with_phrases(texts: DataFrame, stretches: DataFrame, plan) -> DataFrame:
     """``stretches`` with their text, read back from all texts by name."""
     wanted = bit_table(stretches, NAME_BITS)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for chunk in chunks(batches, CHUNK_BYTES):
+        for chunk in chunks(batches, plan.value[0], CHUNK_BYTES):
             names, phrases = [], []
             for n in range(2, MOST_WORDS + 1):
                 own = chunk.names(n)
@@ -339,7 +372,9 @@ class Graph:
 
     def __init__(self, docs: DataFrame, least: int = LEAST):
         self.texts = _input(docs)
-        flows = stretch_flows(self.texts, least)
+        plan = Plan(self.texts)
+        self.plan = docs.sparkSession.sparkContext.broadcast((plan.codes, plan.hot, plan.bits))  # at most CODES and HOT_SHARE numbers
+        flows = stretch_flows(self.texts, self.plan, least)
         self.sizes = flows.filter("words = 0").select("lang", F.col("f").alias("n"))
         self.counts = flows.filter("words > 0")
         self.phrases = flows.filter("words > 1")
@@ -384,7 +419,7 @@ def unary_paths(graph: Graph) -> DataFrame:
 
 def passages(graph: Graph) -> DataFrame:
     """lang, phrase, words, f: the compacted paths as whole phrases of four or more words."""
-    steps = unary_paths(graph).join(with_phrases(graph.texts, graph.edges).withColumnRenamed("name", "edge"), "edge")
+    steps = unary_paths(graph).join(with_phrases(graph.texts, graph.edges, graph.plan).withColumnRenamed("name", "edge"), "edge")
     # Only an edge's last word is new after the path's first edge.
     word = F.when(F.col("step") == 0, F.col("phrase")).otherwise(F.element_at(F.split("phrase", " "), -1))
     return steps.groupBy("head").agg(
@@ -424,5 +459,5 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, scale: int
     order = [F.desc("score"), F.desc("a")]
     first = materialise(lowest.withColumn("place", F.rank().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("place") <= top).drop("place"), "best-phrases")
     best = Window.partitionBy("lang").orderBy(*order, "phrase")
-    ranked = with_phrases(graph.texts, first).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+    ranked = with_phrases(graph.texts, first, graph.plan).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
     return ranked.join(graph.sizes, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

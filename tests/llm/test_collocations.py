@@ -78,7 +78,7 @@ def test_flows_are_the_counts_of_every_level(spark):
     rows = documents(9)
     graph = co.Graph(frame(spark, rows), least=4)
     expected = {(lang, " ".join(p)): a for lang, own in counted(rows)[0].items() for p, a in own.items() if len(p) > 1 and a >= 4}
-    assert {(r["lang"], r["phrase"]): r["f"] for r in co.with_phrases(graph.texts, graph.phrases).collect()} == expected
+    assert {(r["lang"], r["phrase"]): r["f"] for r in co.with_phrases(graph.texts, graph.phrases, graph.plan).collect()} == expected
 
 
 def test_unary_paths_become_whole_passages(spark):
@@ -112,10 +112,11 @@ def test_one_long_text(spark):
 
 
 def test_placement_and_full_tables_do_not_change_rows(spark, monkeypatch):
-    """All pairs hot or none, and a table of names with nearly all bits set."""
+    """All pairs hot or none, few words with codes, and a table of names with nearly all bits set."""
     rows = documents(4)
     expected = brute(rows, 6, 2000)
-    for share in (1, 10**9):
+    for share, codes in ((1, 3), (10**9, 65534)):
+        monkeypatch.setattr(co, "CODES", codes)
         monkeypatch.setattr(co, "HOT_SHARE", share)
         monkeypatch.setattr(co, "NAME_BITS", 4)
         assert outcome(co.collocations(frame(spark, rows), least=6)) == expected
