@@ -2,10 +2,15 @@
 
 Every document gets its counts. The base rules come first: too few words, or too many
 words in repeated five-word windows. A document that passes them goes through
-``rules()``, each a condition that rejects. The order of these comes from a bounded sample:
-each rule is timed on it and its share of rejected rows counted, and rules with more
-rejection per second go first. Order never changes a verdict, as a document is rejected if
-any rule rejects it; it decides how many rules most documents have to pay for.
+``rules()``, each a condition that rejects. The order of these comes from a random sample of
+about ``SAMPLE_ROWS`` documents, drawn before anything is counted: each rule is timed on it and its
+share of rejected rows counted, and rules with more rejection per second go first. Order never changes
+a verdict, as a document is rejected if any rule rejects it; it decides how many rules most documents
+have to pay for. ``failed_rule`` names the first rule that rejected, so it follows the measured order and
+may differ between runs where several rules reject.
+
+The counts leave through a generator: a filter on the result would else be pushed below them, and every use of a
+count in it would repeat the arrays that it comes from.
 
 Windows are compared by a 64-bit hash of their words within one text.
 
@@ -22,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from demandloom.llm.words import WORD_GAP
 
-SAMPLE_ROWS = 1_000  # bound of the sample that orders the rules
+SAMPLE_ROWS = 1_000  # expected size of the sample that orders the rules, whatever the table's
 WINDOW = 5
 MIN_WORDS = 10
 
@@ -68,22 +73,24 @@ def with_counts(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
         F.transform("twice", lambda x, i: F.least(F.lit(WINDOW), F.coalesce(at("twice", i + 1) - x, F.lit(WINDOW)))),
         F.lit(0), lambda total, x: total + x,
     )
-    return placed.select(
+    row = F.struct(
         "doc_id", "text", *carry, "words", F.size("words").cast("long").alias("n_words"),
         F.length(F.regexp_replace("text", WORD_GAP, "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.regexp_replace("text", "[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
     )
+    return placed.select(F.inline(F.array(row)))
 
 
 def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-def ordered_rules(counted: DataFrame, conditions: Mapping[str, Column]) -> list[str]:
-    """Rule names by rejected rows per second on a sample of at most SAMPLE_ROWS rows."""
-    sample = counted.limit(SAMPLE_ROWS).filter(~base_failed()).persist()
+def ordered_rules(docs: DataFrame, conditions: Mapping[str, Column]) -> list[str]:
+    """Rule names by rejected rows per second on a sample of about SAMPLE_ROWS documents."""
+    share = min(1.0, SAMPLE_ROWS / max(docs.count(), 1))
+    sample = with_counts(docs.sample(False, share, 1)).filter(~base_failed()).persist()
     sample.count()
     worth = {}
     for name, condition in conditions.items():
@@ -98,7 +105,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     """Counts and verdict of each document; ``failed_rule`` is the first rule that rejected it."""
     counted, conditions = with_counts(docs), rules()
     first = F.when(base_failed(), "base")
-    for name in ordered_rules(counted, conditions):
+    for name in ordered_rules(docs, conditions):
         first = first.when(conditions[name], name)
     return counted.withColumn("failed_rule", first).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -109,10 +116,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that no rule rejects, with their columns."""
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id"), F.col("text"))
-    counted, conditions = with_counts(docs), rules()
-    order = ordered_rules(counted, conditions)
+    conditions = rules()
     kept = ~base_failed()
-    for name in order:
+    for name in ordered_rules(docs, conditions):
         kept = F.when(kept, ~conditions[name]).otherwise(False)
-    # A filter would be pushed below the counts and repeat them for every use; a generator isn't.
-    return with_counts(own, carry=["row"]).select(F.inline(F.when(kept, F.array("row"))))
+    return with_counts(own, carry=["row"]).filter(kept).select("row.*")
