@@ -8,13 +8,14 @@ labelled secrets (``KNOWN``, ``TELLING``); UUIDs, dates, numbers, plain words, r
 placeholders (``HARMLESS``) are labelled false. A user's own findings can be added. The
 forest learns from at most ``LABELLED`` of them, ``LABELLED / 2`` of each label, taken by a hash
 of the value, and judges every candidate, labelled or not. To learn the look and not the
-format, prefixes and names that made the label are no features.
+rule that labels, the assignment before a value and its name are no features: neighbouring words
+are those before the assignment and the one behind the value.
 
 Features: length, entropy, shares of digits, capitals, lower case and marks; mean log
 probability of character transitions under counts from all prose words of the table;
-dictionary coverage (share of characters in words that many documents use); the place, a
-path or URL around the value or not; hashed neighbouring words, as log odds from the
-labelled findings.
+dictionary coverage (share of characters in words that occur at least ``COMMON`` times); the place, a
+path or URL around the value or not; neighbouring words, as log odds from the labelled findings of
+the other fold (values are split in two by hash), so that no finding's own label is in its odds.
 
 Counts of words and transitions cover all documents and combine before their shuffles. What
 goes to tasks is bounded: 64 x 64 transition counts and the forest; the dictionary is joined.
@@ -42,7 +43,7 @@ from demandloom.sources.storage import materialise
 SHORTEST = 12
 LABELLED = 20_000  # bound of the labelled findings that the forest learns from
 TREES, DEPTH, SEED = 30, 8, 17
-COMMON = 3  # documents that use a word of the dictionary
+COMMON = 3  # occurrences of a word of the dictionary
 LETTERS = 64
 
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/=\-])[A-Za-z0-9_+/\-][A-Za-z0-9_+/=\-]{%d,}" % (SHORTEST - 1))
@@ -79,7 +80,8 @@ def findings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(value) < SHORTEST or not (any(c.isdigit() for c in value) or value.isupper()):
                     continue
                 after = text[match.end() : match.end() + 40]
-                context = [w.lower() for w in before.split()[-3:-1] + after.split()[:1]]
+                ahead = before[: named.start()] if named else before
+                context = [w.lower() for w in ahead.split()[-2:] + after.split()[:1]]
                 label = 1 if KNOWN.search(value) or (TELLING.search(name) and not HARMLESS.search(value)) else 0 if HARMLESS.search(value) else None
                 edge = (before[-1:] + after[:1]).replace('"', "").replace("'", "")
                 in_path = value.count("/") > 1 or before.endswith(("/", ".", "://")) or "/" in edge
@@ -129,7 +131,7 @@ def features(log_p: np.ndarray):
 
 
 def common_words(texts: DataFrame) -> DataFrame:
-    """word, times, documents of the prose words of all texts."""
+    """word, times: the prose words of all texts."""
     words = texts.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).filter(F.length("word").between(2, 24))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") >= COMMON)
 
@@ -161,13 +163,15 @@ def secret_scan(docs: DataFrame, own_labels: DataFrame | None = None) -> DataFra
     log_p = np.log(counts / counts.sum(axis=1, keepdims=True))
     values = found.select("value").distinct()
     look = values.mapInArrow(features(log_p), "value string, look array<double>").join(with_coverage(values, words), "value")
-    # Log odds of neighbouring words, by labelled findings; a word that is in one finding says little.
-    near = found.filter("label is not null").select("label", F.explode("context").alias("word"))
-    odds = near.groupBy("word").agg((F.log(F.sum("label") + 2) - F.log(F.sum(1 - F.col("label")) + 2)).alias("odds"))
-    context = found.select("row", "place", F.explode("context").alias("word")).join(odds, "word").groupBy("row", "place").agg(F.avg("odds").alias("odds"))
+    # Log odds of neighbouring words, by labelled findings of the other fold; a word of one finding says little.
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "value"), F.lit(2))
+    near = found.filter("label is not null").select("label", (1 - fold).alias("fold"), F.explode("context").alias("word"))
+    odds = near.groupBy("fold", "word").agg((F.log(F.sum("label") + 2) - F.log(F.sum(1 - F.col("label")) + 2)).alias("odds"))
+    spread = found.select("row", "place", fold.alias("fold"), F.explode("context").alias("word"))
+    context = spread.join(odds, ["fold", "word"]).groupBy("row", "place").agg(F.avg("odds").alias("odds"))
     full = found.join(look, "value").join(context, ["row", "place"], "left").select(
         "doc_id", "start", "end", "value", "label",
-        F.concat("look", F.array("coverage", F.col("in_path").cast("double"), (F.length("name") > 0).cast("double"), F.coalesce("odds", F.lit(0.0)))).alias("numbers"),
+        F.concat("look", F.array("coverage", F.col("in_path").cast("double"), F.coalesce("odds", F.lit(0.0)))).alias("numbers"),
     )
     full = materialise(full, "secret-features")
     labelled = full.filter("label is not null").select("value", "label", "numbers")

@@ -1,6 +1,7 @@
 """Search, URLs, secrets, sampled pieces and the pipeline."""
 
 import math
+import re
 from collections import Counter
 from itertools import chain
 
@@ -106,10 +107,28 @@ def test_forest_on_held_out_findings(spark):
     assert len(judged) >= 350 and right / len(judged) > 0.97
 
 
-def test_planted_keys_are_found(spark):
-    found = secret_scan(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
-    known = found.filter("value rlike '^AKIA[0-9A-Z]{16}$'")
-    assert known.count() > 0 and known.filter("not secret").count() == 0
+def test_planted_tokens_are_found_with_names_hidden(spark):
+    """Recall and precision of at least 0.9: for every third planted token its name is taken from the
+    text, so no rule labels it; as many harmless values of the same form are put beside it."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").collect()
+    named = re.compile(r'token = "([0-9a-f]{40})"')
+    hidden, rows = set(), []
+    for doc, text in docs:
+        for n, value in enumerate(named.findall(text or "")):
+            if (doc + n) % 3 == 0:
+                hidden.add(value)
+                text = text.replace(f'token = "{value}"', f'"{value}"')
+        rows.append((doc, text))
+    harmless = {f"{'-'.join(['section', 'heading', 'chapter'][k % 3 :])}-part-{k:03d}" for k in range(60)}
+    rows += [(10**6 + k, f"see {value} for more words of the text") for k, value in enumerate(sorted(harmless))]
+    rows += [(2 * 10**6 + k, f"moved to file-of-pages-{k}-{'x' * 8} and back") for k in range(60)]
+    judged = secret_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = {r.value: r.secret for r in judged}
+    unlabelled = {r.value for r in judged if r.label is None}
+    assert len(hidden) >= 30 and hidden <= unlabelled
+    caught = sum(found[v] for v in hidden)
+    false = sum(found[v] for v in unlabelled - hidden if v in harmless or v.startswith("file-of-pages"))
+    assert caught / len(hidden) >= 0.9 and caught / max(1, caught + false) >= 0.9
 
 
 def test_secrets_of_odd_rows(spark, odd):
