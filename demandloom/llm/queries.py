@@ -10,7 +10,7 @@ from demandloom.llm.packing import pack
 from demandloom.llm.pii import pii_digest
 from demandloom.llm.quality_rules import quality_rules
 from demandloom.llm.resampling import resample
-from demandloom.llm.sampled_pieces import decode_pieces, sample_pieces
+from demandloom.llm.sampled_pieces import sampled_texts
 from demandloom.llm.secret_scan import secret_scan
 from demandloom.llm.substring import substring_dedup
 from demandloom.llm.tables import read
@@ -69,7 +69,7 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op6_sampled_pieces(spark: SparkSession, folder: str) -> DataFrame:
-    decoded = decode_pieces(sample_pieces(read(spark, folder, "documents")))
+    decoded = sampled_texts(read(spark, folder, "documents"))
     return decoded.withColumn("text_sha256", F.sha2("text", 256)).drop("text")
 
 

@@ -40,6 +40,7 @@ from demandloom.llm.words import Powers, mix, stretch_names, text_chunks
 
 MODEL = "piece_bpe_32k.model"
 SAMPLES = 3
+CHUNK = 1 << 18  # characters whose lattice, walks and samples a task holds at once
 SEED = 7
 BLANK = "▁"
 UNITS = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
@@ -284,7 +285,7 @@ def segment(model: str, samples: int):
         types = pa.schema(list(zip(names, [pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.float64(), pa.float64(), pa.float64()])))
         for batch in batches:
             docs = batch.column("doc_id").to_pylist()
-            for row, texts in text_chunks(batch.column("text")):
+            for row, texts in text_chunks(batch.column("text"), CHUNK):
                 keys, out = docs[row : row + len(texts)], {n: [] for n in names}
                 lattice = Lattice(shared_vocabulary(model), texts)
                 for key, search in zip(keys, sampled(lattice, [k or 0 for k in keys], samples)):
@@ -318,7 +319,18 @@ def decoded(model: str):
     return run
 
 
+DECODED = "doc_id long, sample int, log_prob double, perturbed double, inclusion double, n_pieces long, ids_crc32 long, text string"
+
+
 def decode_pieces(segments: DataFrame, model: str = MODEL) -> DataFrame:
     """The text of every ids row, with the number and checksum of its ids."""
-    schema = "doc_id long, sample int, log_prob double, perturbed double, inclusion double, n_pieces long, ids_crc32 long, text string"
-    return segments.mapInArrow(decoded(model), schema)
+    return segments.mapInArrow(decoded(model), DECODED)
+
+
+def sampled_texts(docs: DataFrame, samples: int = SAMPLES, model: str = MODEL) -> DataFrame:
+    """``decode_pieces`` of ``sample_pieces`` in one pass: the samples never leave the worker that drew them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return decoded(model)(segment(model, samples)(batches))
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return texts.mapInArrow(run, DECODED)

@@ -80,14 +80,14 @@ class Words:
         return stretch_names(BYTE_VALUES[stream][self.bytes], BYTE_POWERS[stream], self.begin, self.end)
 
 
-def text_chunks(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
-    """(first row, texts) of consecutive pieces of a column, each of about CHUNK_BYTES."""
+def text_chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, list[str | None]]]:
+    """(first row, texts) of consecutive pieces of a column, each of about ``most`` characters."""
     texts, size, first = [], 0, 0
     for row in range(len(column)):
         text = column[row].as_py()
         texts.append(text)
         size += len(text) if text else 0
-        if size >= CHUNK_BYTES:
+        if size >= most:
             yield first, texts
             texts, size, first = [], 0, row + 1
     if texts:
