@@ -4,10 +4,12 @@ Two objectives are minimised under integer orders between a guaranteed minimum a
 target, a budget and a unit capacity: weighted shortfall against the target, and
 expected operating cost over demand scenarios. Both are separable and convex per item,
 so each item is a short ladder of steps (a gain per unit and a number of units) with
-falling gains, and the problem is to pick steps. It is solved in two moves that scale
-with the data: a search for prices of budget and capacity, in which every step is
-summed locally for a grid of candidate prices, and a greedy pick by gain per priced
-unit. The best price pair also bounds the optimum, so every result carries its gap.
+falling gains, and the problem is to pick steps. The exact prices of budget and capacity
+(``prices.py``) decide all steps but a few, and these are solved together (``core.py``). The
+prices also bound the optimum, so every result carries its gap.
+
+Money is counted in whole parts of ``MONEY`` per unit, costs rounded up and budgets down: sums are
+exact in any order, and what fits in parts fits in money.
 """
 
 from __future__ import annotations
@@ -18,12 +20,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from demandloom import params as P
 from demandloom.functions.outcomes import fill_rate, with_outcomes
-from demandloom.operators.greedy import GROUPS, greedy_take
+from demandloom.operators.core import gain_bounds, take_steps
+from demandloom.operators.greedy import GROUPS, take_in_rounds
+
+MONEY = 10_000  # parts of one unit of money
+
+
+def cost_parts(cost: Column) -> Column:
+    """A cost in whole parts, rounded up; the inner rounding only removes noise of the last digits."""
+    return F.ceil(F.round(cost * MONEY, 2)).cast("long")
 
-GRID = 9           # price levels, and budget shares, per refinement
-LEVELS = 7         # coarse grid and refinements, each halving the steps
-PRICE_RATIOS = [1.0, 0.5, 0.8, 0.9, 0.97, 1.03, 1.1, 1.25, 2.0]  # tried for the final pick
-FREE = 1e300       # rank of a step whose resources cost nothing
+
+def budget_parts(budget: Column) -> Column:
+    return F.floor(F.round(budget * MONEY, 2)).cast("long")
 
 
 # --- inputs ------------------------------------------------------------------------------
@@ -93,14 +102,16 @@ def minimum_order() -> Column:
 
 
 def left_after(limits: DataFrame, granted: DataFrame) -> DataFrame:
-    """Limits with what remains after the units granted so far (groups, unit_cost, granted)."""
+    """Budget, in parts and in money, and capacity that remain after the units granted so far."""
+    cost = F.col("unit_purchase_cost")
     used = granted.groupBy(*GROUPS).agg(
-        F.sum(F.col("granted") * F.col("unit_purchase_cost")).alias("spend"), F.sum("granted").alias("count")
+        F.sum(F.col("granted") * cost_parts(cost)).alias("spend"), F.sum(F.col("granted") * cost).alias("spend_money"), F.sum("granted").alias("count")
     )
     return limits.join(used, GROUPS).select(
         *GROUPS,
-        (F.col("budget_limit") - F.col("spend")).alias("budget_left"),
-        (F.col("capacity_limit") - F.col("count")).alias("capacity_left"),
+        (budget_parts(F.col("budget_limit")) - F.col("spend")).alias("budget_left"),
+        (F.col("budget_limit") - F.col("spend_money")).alias("money_left"),
+        (F.col("capacity_limit") - F.col("count")).cast("long").alias("capacity_left"),
     )
 
 
@@ -167,7 +178,7 @@ def shortfall_ladder(targets: DataFrame) -> DataFrame:
     return targets.select(
         *P.SERIES, F.lit(0).alias("segment"), F.col("priority_weight").alias("gain"),
         (F.col("target_order_quantity") - minimum_order()).alias("units"),
-        F.col("unit_purchase_cost").alias("unit_cost"),
+        F.col("unit_purchase_cost").alias("unit_cost"), cost_parts(F.col("unit_purchase_cost")).alias("cost"),
     ).filter("units > 0")
 
 
@@ -176,141 +187,37 @@ def expected_cost_ladder(targets: DataFrame) -> DataFrame:
     return expected_cost_curve(targets).filter("gain_per_unit > 0").select(
         *P.SERIES, "segment", F.col("gain_per_unit").alias("gain"),
         (F.col("to_units") - F.col("from_units")).alias("units"),
-        F.col("unit_purchase_cost").alias("unit_cost"),
+        F.col("unit_purchase_cost").alias("unit_cost"), cost_parts(F.col("unit_purchase_cost")).alias("cost"),
     )
 
 
 # --- allocation ---------------------------------------------------------------------------------
 
-def _grid(state: DataFrame, coarse: bool) -> DataFrame:
-    """Numbered candidate prices of every group: each price level with each budget share.
-
-    The coarse grid halves the level from the highest useful one down to zero and spans
-    all shares; the others surround the best pair so far.
-    """
-    row, column = F.floor(F.col("number") / GRID), F.col("number") % GRID
-    if coarse:
-        level = F.when(row == GRID - 1, F.lit(0.0)).otherwise(F.col("top") / F.pow(F.lit(2.0), row))
-        share = column / (GRID - 1.0)
-    else:
-        half = GRID // 2
-        level = F.greatest(F.lit(0.0), F.col("level") + (row - half) * F.col("level_step"))
-        share = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("share") + (column - half) * F.col("share_step")))
-    kept = [*GROUPS, *_FIXED, *_STEPS]
-    cells = state.select("*", F.explode(F.sequence(F.lit(0), F.lit(GRID * GRID - 1))).alias("number"))
-    return cells.select(*kept, "number", level.alias("level"), share.alias("share")).select(
-        *kept, "number", "level", "share",
-        (F.col("share") * F.col("level") / F.col("mean_cost")).alias("p_budget"),
-        ((1.0 - F.col("share")) * F.col("level")).alias("p_unit"),
-    )
-
-
-_FIXED = ["budget_left", "capacity_left", "mean_cost", "top"]
-_STEPS = ["level_step", "share_step"]
-
-
-def price_search(ladder: DataFrame, limits: DataFrame) -> DataFrame:
-    """Prices of one budget unit and one capacity unit per group, with the bound they prove.
-
-    For any prices, the priced value of the limits plus the steps' profit over their
-    priced cost is an upper bound of the total gain; the search lowers it. The two prices
-    trade off against each other along a constant price of an average unit, so the grid
-    runs over that level and the budget's share of it. Each refinement sums a small grid
-    of candidates per group, combined before the shuffle, so a group's size is no issue.
-    """
-    stores = ladder.groupBy("store_id").agg(
-        F.max(F.when(F.col("unit_cost") > 0, F.col("gain") / F.col("unit_cost"))).alias("top_rate"),
-        F.max("gain").alias("top_gain"),
-        (F.sum(F.col("units") * F.col("unit_cost")) / F.sum("units")).alias("mean_cost"),
-    ).filter("mean_cost > 0").withColumn("top", F.greatest(F.col("top_rate") * F.col("mean_cost"), "top_gain"))
-    cell = ["level", "share", "p_budget", "p_unit"]
-    state = limits.join(stores, "store_id").select(
-        *GROUPS, *_FIXED, (F.col("top") / 8).alias("level_step"), F.lit(0.5 / (GRID - 1)).alias("share_step")
-    )
-    profit = F.greatest(F.lit(0.0), F.col("gain") - F.col("p_budget") * F.col("unit_cost") - F.col("p_unit"))
-    bound = F.col("p_budget") * F.col("budget_left") + F.col("p_unit") * F.col("capacity_left") + F.col("profit")
-    best = F.struct(F.round("gain_bound", 6), F.col("number"))
-    for number in range(LEVELS):
-        # A store has a fixed number of candidates (scenarios times grid cells): one row
-        # carries them to its steps, so this is the only use of the previous state.
-        columns = ["scenario", "number", *_FIXED, *cell, *_STEPS]
-        options = _grid(state, coarse=number == 0).groupBy("store_id").agg(
-            F.collect_list(F.struct(*columns)).alias("options")
-        )
-        scored = (
-            ladder.join(options, "store_id")
-            .select("store_id", "gain", "unit_cost", "units", F.inline("options"))
-            .groupBy(*GROUPS, "number")
-            .agg(F.sum(F.col("units") * profit).alias("profit"), *[F.first(c).alias(c) for c in columns[2:]])
-            .select("*", bound.alias("gain_bound"))
-        )
-        found = scored.groupBy(*GROUPS).agg(
-            *[F.min_by(c, best).alias(c) for c in [*cell, "gain_bound"]],
-            *[F.first(c).alias(c) for c in [*_FIXED, *_STEPS]],
-        )
-        level_step = (
-            F.col("level_step") / 2 if number
-            else F.greatest(F.col("level") / 8, F.col("top") / 2.0 ** (GRID + 1))
-        )
-        share_step = F.col("share_step") / 2 if number else F.col("share_step")
-        state = found.select(
-            *GROUPS, *_FIXED, *cell, "gain_bound", level_step.alias("level_step"), share_step.alias("share_step")
-        )
-    return state.select(
-        *GROUPS, "budget_left", "capacity_left", F.col("p_budget").alias("budget_price"),
-        F.col("p_unit").alias("unit_price"), "gain_bound",
-    )
-
-
 def allocate_by_price(
-    targets: DataFrame, limits: DataFrame, ladder: DataFrame, objective: Callable[[Column], Column],
-    freeze_with: Callable[[DataFrame], DataFrame], **greedy,
+    targets: DataFrame, limits: DataFrame, ladder: DataFrame, freeze_with: Callable[[DataFrame], DataFrame], **search,
 ) -> tuple[DataFrame, DataFrame]:
-    """(allocation per scenario and series, prices and bound per group).
-
-    Above the guaranteed minimum, steps are taken by gain per priced unit while they fit.
-    Whole units make nearby prices differ a little, so a few ratios of the two prices are
-    tried side by side as groups of their own, and the best result of a group is kept.
-    """
+    """(allocation per scenario and series, prices and bound per group)."""
     base = in_scenarios(targets).withColumn("granted", minimum_order())
     ladder = freeze_with(ladder)
-    left = left_after(limits, base)
-    prices = freeze_with(price_search(ladder, left))
-    ratios = F.array(*[
-        F.struct(F.lit(str(k)).alias("variant"), F.lit(r).alias("ratio")) for k, r in enumerate(PRICE_RATIOS)
-    ])
-    variants = prices.select("*", F.inline(ratios))
-    priced_cost = F.col("budget_price") * F.col("ratio") * F.col("unit_cost") + F.col("unit_price")
-    steps = ladder.join(variants, "store_id").select(
-        *GROUPS, "variant", "item_id", "segment", "unit_cost", "units",
-        F.when(priced_cost > 0, F.col("gain") / priced_cost).otherwise(F.lit(FREE)).alias("rank_value"),
-    )
-    groups = [*GROUPS, "variant"]
-    taken = freeze_with(greedy_take(steps, variants.select(*groups, "budget_left", "capacity_left"), groups=groups, **greedy))
-    quantity = F.col("granted") + F.col("taken")
-    saved = taken.join(base, [*GROUPS, "item_id"]).groupBy(*groups).agg(
-        F.sum(objective(F.col("granted")) - objective(quantity)).alias("saved")
-    )
-    chosen = saved.groupBy(*GROUPS).agg(
-        F.max_by("variant", F.struct(F.round("saved", 6), -F.col("variant").cast("int"))).alias("variant")
-    )
-    best = taken.join(chosen, groups, "left_semi").select(*GROUPS, "item_id", "taken")
-    allocation = base.join(best, [*GROUPS, "item_id"], "left").select(
+    left = freeze_with(left_after(limits, base))
+    taken, prices = take_steps(ladder, left, **search)
+    # A price per part of money is MONEY times as much per unit of money.
+    in_money = prices.withColumn("budget_price", F.col("budget_price") * MONEY)
+    allocation = base.join(taken, [*GROUPS, "item_id"], "left").select(
         *GROUPS, "item_id",
         (F.col("granted") + F.coalesce("taken", F.lit(0))).cast("long").alias("allocated_order_quantity"),
     )
-    return allocation, prices
+    return allocation, gain_bounds(ladder, left, in_money, "unit_cost", "money_left")
 
 
-def allocate_proportional(targets: DataFrame, limits: DataFrame, freeze_with, **greedy) -> DataFrame:
+def allocate_proportional(targets: DataFrame, limits: DataFrame, freeze_with, **rounds) -> DataFrame:
     """The same share of every item's open target, then single units by weight per cost."""
     base = in_scenarios(targets).select(
         *GROUPS, "item_id", "unit_purchase_cost", "priority_weight", "target_order_quantity",
         minimum_order().alias("granted"),
     ).withColumn("open", F.col("target_order_quantity") - F.col("granted"))
-    wanted = base.groupBy(*GROUPS).agg(
-        F.sum(F.col("open") * F.col("unit_purchase_cost")).alias("open_spend"), F.sum("open").alias("open_units")
-    )
+    cost = cost_parts(F.col("unit_purchase_cost"))
+    wanted = base.groupBy(*GROUPS).agg(F.sum(F.col("open") * cost).alias("open_spend"), F.sum("open").alias("open_units"))
     left = left_after(limits, base).join(wanted, GROUPS)
     # least() ignores nulls, so a resource nothing is wanted of does not scale.
     scale = F.greatest(F.lit(0.0), F.least(
@@ -324,12 +231,10 @@ def allocate_proportional(targets: DataFrame, limits: DataFrame, freeze_with, **
         .drop("scale", "open")
     )
     rows = shared.select(
-        *GROUPS, "item_id", F.lit(0).alias("segment"),
-        F.try_divide("priority_weight", "unit_purchase_cost").alias("rank_value"),
-        F.col("unit_purchase_cost").alias("unit_cost"),
+        *GROUPS, "item_id", F.try_divide("priority_weight", "unit_purchase_cost").alias("rank_value"), cost.alias("cost"),
         (F.col("target_order_quantity") - F.col("granted")).alias("units"),
     )
-    taken = greedy_take(rows, left_after(limits, shared), one_by_one=True, **greedy)
+    taken = take_in_rounds(rows, left_after(limits, shared), **rounds)
     return shared.join(taken, [*GROUPS, "item_id"], "left").select(
         *GROUPS, "item_id",
         (F.col("granted") + F.coalesce("taken", F.lit(0))).cast("long").alias("allocated_order_quantity"),

@@ -3,12 +3,13 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from demandloom import params as P
-from demandloom.operators import allocate
-from demandloom.operators.greedy import greedy_take
+from demandloom.operators import allocate, core, prices
+from demandloom.operators.greedy import take_in_rounds
 from demandloom.operators.prefix import running_totals
 from demandloom.sources.storage import freeze
 
@@ -25,32 +26,115 @@ def test_running_totals(spark):
     assert {r["i"]: r["before_v"] for r in got.collect()} == expected
 
 
-@pytest.mark.parametrize("one_by_one", [False, True])
-def test_distributed_greedy_equals_the_fold(spark, one_by_one):
-    rng = random.Random(2)
-    rows, limits = [], []
-    for group in range(4):
-        spend = units = 0.0
-        for i in range(30):
-            cost, amount = float(rng.randint(1, 12)), rng.randint(0, 4)
-            rows.append(("s", f"g{group}", f"i{i:02}", 0, rng.choice([1.0, 2.0, 3.0]), cost, amount))
+def visited(rows, limits):
+    """Single units in rounds, one row after the other, in whole numbers."""
+    result = {}
+    for group, (budget, capacity) in limits.items():
+        own = sorted((r for r in rows if r[1] == group), key=lambda r: (-r[3], r[4], r[2]))
+        given = True
+        while given:
+            given = False
+            for _, _, item, _, cost, units in own:
+                if capacity >= 1 and cost <= budget and result.get((group, item), 0) < units:
+                    result[group, item] = result.get((group, item), 0) + 1
+                    budget, capacity, given = budget - cost, capacity - 1, True
+    return result
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_rounds_are_exact_however_far_they_are_distributed(spark, seed):
+    """Costs of 1e6 to 9e6 with two decimals: the same units for any bound of what a task visits."""
+    rng = random.Random(seed)
+    rows, limits = [], {}
+    for g in range(3):
+        spend = units = 0
+        for i in range(25):
+            cost, amount = rng.randint(10**8, 9 * 10**8) * allocate.MONEY // 100, rng.randint(0, 3)
+            rows.append(("s", f"g{g}", f"i{i:02}", rng.choice([1.0, 2.0, 3.0]), cost, amount))
             spend, units = spend + cost * amount, units + amount
-        limits.append(("s", f"g{group}", spend * [.3, .6, .9, 2.][group], int(units * [.9, .5, .95, 2.][group])))
-    rows = spark.createDataFrame(rows, "scenario string, store_id string, item_id string, segment int, rank_value double, unit_cost double, units long")
-    limits = spark.createDataFrame(limits, "scenario string, store_id string, budget_left double, capacity_left long")
-    def outcome(fold_rows):
-        taken = greedy_take(rows, limits, one_by_one=one_by_one, fold_rows=fold_rows)
-        return sorted(map(tuple, taken.filter("taken > 0").collect()))
-    assert outcome(10_000) == outcome(2)
+        limits[f"g{g}"] = (int(spend * [.3, .9, 2][g]), int(units * [.9, .95, 2][g]))
+    frame = spark.createDataFrame(rows, "scenario string, store_id string, item_id string, rank_value double, cost long, units long")
+    bounds = spark.createDataFrame([("s", g, b, c) for g, (b, c) in limits.items()], "scenario string, store_id string, budget_left long, capacity_left long")
+    for fold_rows in (20_000, 4) if seed < 3 else (20_000,):
+        taken = take_in_rounds(frame, bounds, fold_rows=fold_rows).filter("taken > 0").collect()
+        assert {(r["store_id"], r["item_id"]): r["taken"] for r in taken} == visited(rows, limits)
+
+
+def ladder_of(spark, seed, items, units=(1, 9), gains=None):
+    """Two stores of steps with falling gains per item, and limits of three scenarios."""
+    rng = random.Random(seed)
+    rows, totals = [], {}
+    for store in ("A", "B"):
+        for i in range(items):
+            cost = rng.randint(10**6, 9 * 10**6)
+            steps = sorted((rng.choice(gains) if gains else round(rng.uniform(.1, 5), 6) for _ in range(rng.randint(1, 3))), reverse=True)
+            for k, gain in enumerate(dict.fromkeys(steps)):
+                n = rng.randint(*units)
+                rows.append((store, f"i{i:03}", k, gain, cost, n))
+                spend, count = totals.get(store, (0, 0))
+                totals[store] = spend + cost * n, count + n
+    ladder = spark.createDataFrame(rows, "store_id string, item_id string, segment int, gain double, cost long, units long")
+    limits = [(name, store, int(spend * share), int(count * room)) for store, (spend, count) in totals.items()
+              for name, share, room in (("a", .4, .5), ("b", .7, .4), ("c", .3, 2.0), ("d", 2.0, .6), ("e", 3.0, 3.0))]
+    return rows, ladder, limits, spark.createDataFrame(limits, "scenario string, store_id string, budget_left long, capacity_left long")
+
+
+def test_prices_by_cuts_over_all_steps_equal_those_of_one_task(spark):
+    """With room for few undecided steps the search runs on aggregates; the corner is the same."""
+    _, ladder, _, limits = ladder_of(spark, 1, 60)
+    def found(band):
+        return {(r["scenario"], r["store_id"]): (r["budget_price"], r["unit_price"]) for r in prices.resource_prices(ladder, limits, band=band).collect()}
+    direct, cut = found(10**6), found(12)
+    assert set(direct) == set(cut) and len(direct) == 10
+    for group, (x, y) in direct.items():
+        assert cut[group] == pytest.approx((x, y), rel=1e-9, abs=1e-18)
+
+
+@pytest.mark.parametrize("seed, gains", [(2, None), (3, [1.0, 2.0, 3.0])])
+def test_steps_stay_near_the_bound_and_within_limits(spark, seed, gains):
+    """Many equal gains and costs included: the gap stays below what one unit of the core can cost."""
+    rows, ladder, limits, frame = ladder_of(spark, seed, 40, (1, 60), gains)
+    taken, found = core.take_steps(ladder, frame)
+    price = {(r["scenario"], r["store_id"]): r for r in core.gain_bounds(ladder, frame, found, "cost", "budget_left").collect()}
+    got = {}
+    for r in taken.collect():
+        got.setdefault((r["scenario"], r["store_id"]), {})[r["item_id"]] = r["taken"]
+    for name, store, budget, room in limits:
+        own = [r for r in rows if r[0] == store]
+        spend = count = gain = 0
+        for item, n in got.get((name, store), {}).items():
+            for _, _, _, g, cost, units in sorted((r for r in own if r[1] == item), key=lambda r: r[2]):
+                q = min(n, units)
+                n, spend, count, gain = n - q, spend + q * cost, count + q, gain + q * g
+            assert n == 0
+        assert spend <= budget and count <= room
+        bound = price[name, store]["gain_bound"]
+        assert gain <= bound + 1e-6 and bound - gain <= 0.007 * bound
+
+
+def test_a_kind_taken_in_part_goes_to_its_items_in_order(spark):
+    """Thirty equal steps: the capacity is filled whole, the first items first."""
+    rows = [("A", f"i{k:02}", 0, 1.5, 700, 4) for k in range(30)]
+    ladder = spark.createDataFrame(rows, "store_id string, item_id string, segment int, gain double, cost long, units long")
+    limits = spark.createDataFrame([("s", "A", 10**9, 50)], "scenario string, store_id string, budget_left long, capacity_left long")
+    taken = {r["item_id"]: r["taken"] for r in core.take_steps(ladder, limits)[0].collect() if r["taken"]}
+    assert taken == {**{f"i{k:02}": 4 for k in range(12)}, "i12": 2}
+
+
+def test_wide_splits_are_tried_around_their_turning_points():
+    units, cost = np.array([10**6, 10**6]), np.array([700, 1100])
+    quantity = core.best_core(np.array([1.0, 1.5]), cost, units, np.array([False, False]), np.zeros(2), 900_000_000, 10**6)
+    assert (quantity * cost).sum() <= 900_000_000 and quantity.sum() == 10**6 and quantity.tolist() == [500_000, 500_000]
 
 
 def plan(spark, seed, items=4):
+    """Costs of 1e6 to 9e6 with two decimals."""
     rng = random.Random(seed)
     rows = []
     for i in range(items):
         target = rng.randint(2, 6)
         forecast = round(target * rng.uniform(.5, .9), 2)
-        rows.append(("S", f"i{i}", forecast, rng.uniform(.2, 2.0), target, rng.uniform(1, 3), rng.uniform(1, 2), float(rng.randint(0, 7)), 1.0))
+        rows.append(("S", f"i{i}", forecast, rng.uniform(.2, 2.0), target, rng.randint(10**8, 9 * 10**8) / 100, rng.uniform(1, 2), float(rng.randint(0, 7)), 1.0))
     return spark.createDataFrame(rows, (
         "store_id string, item_id string, forecast_total_units double, uncertainty_std_28 double, target_order_quantity long, "
         "unit_purchase_cost double, priority_weight double, actual_demand_units double, average_sell_price double"))
@@ -64,19 +148,19 @@ def expected(row, q):
     return total
 
 
-@pytest.mark.parametrize("seed", [3, 4])
+@pytest.mark.parametrize("seed", range(3, 13))
 def test_allocation_against_brute_force(spark, seed):
     targets = plan(spark, seed)
     limits = allocate.resource_limits(targets)
     rows = targets.orderBy("item_id").collect()
     bounds = {r["scenario"]: r for r in limits.collect()}
     cases = [
-        (allocate.shortfall_ladder, allocate.shortfall, allocate.shortfall_diagnostics, "objective_value",
+        (allocate.shortfall_ladder, allocate.shortfall_diagnostics, "objective_value",
          lambda r, q: r["priority_weight"] * (r["target_order_quantity"] - q)),
-        (allocate.expected_cost_ladder, allocate.expected_cost, allocate.expected_cost_diagnostics, "expected_objective_cost", expected),
+        (allocate.expected_cost_ladder, allocate.expected_cost_diagnostics, "expected_objective_cost", expected),
     ]
-    for ladder, objective, diagnose, name, cost in cases:
-        allocation, prices = allocate.allocate_by_price(targets, limits, ladder(targets), objective, freeze)
+    for ladder, diagnose, name, cost in cases:
+        allocation, prices = allocate.allocate_by_price(targets, limits, ladder(targets), freeze)
         outcome = allocate.allocation_outcomes(targets, limits, allocation, "m")
         for found in diagnose(outcome, prices).collect():
             limit = bounds[found["scenario"]]
@@ -84,10 +168,11 @@ def test_allocation_against_brute_force(spark, seed):
             best = min(
                 sum(cost(r, q) for r, q in zip(rows, qs)) for qs in itertools.product(*choices)
                 if sum(qs) <= limit["capacity_limit"]
-                and sum(q * r["unit_purchase_cost"] for r, q in zip(rows, qs)) <= limit["budget_limit"] + 1e-8)
+                and sum(q * r["unit_purchase_cost"] for r, q in zip(rows, qs)) <= limit["budget_limit"] + 1e-5)
             assert found["feasible"]
             assert found["objective_bound"] <= best + 1e-6 <= found[name] + 2e-6
-            assert found[name] - best <= found[name] - found["objective_bound"] + 1e-6
+            # Two units from the boundary are tried, so on four items little can be better.
+            assert found[name] - best <= 0.05 * best + 1e-6
 
 
 def test_invariants(ws):
@@ -113,7 +198,7 @@ def test_infeasible_minimum_is_found(spark):
 
 
 def test_equal_ranks_go_to_the_first_item(spark):
-    rows = spark.createDataFrame([("s", "g", i, 0, 1.0, 2.0, 1) for i in ("b", "a", "c")], "scenario string, store_id string, item_id string, segment int, rank_value double, unit_cost double, units long")
-    limits = spark.createDataFrame([("s", "g", 2.0, 5)], "scenario string, store_id string, budget_left double, capacity_left long")
-    taken = greedy_take(rows, limits, one_by_one=True).filter("taken > 0").collect()
+    rows = spark.createDataFrame([("s", "g", i, 1.0, 2, 1) for i in ("b", "a", "c")], "scenario string, store_id string, item_id string, rank_value double, cost long, units long")
+    limits = spark.createDataFrame([("s", "g", 2, 5)], "scenario string, store_id string, budget_left long, capacity_left long")
+    taken = take_in_rounds(rows, limits).filter("taken > 0").collect()
     assert [r["item_id"] for r in taken] == ["a"]
