@@ -1,62 +1,40 @@
-"""Pooled Poisson boosting over all series, on Spark ML decision trees.
+"""Pooled Poisson boosting over all series by gradient histograms.
 
-Each round fits one distributed regression tree to the working response of the
-Poisson loss, replaces its leaf values by regularised Newton steps (one small
-aggregate), and adds the shrunken tree to the log-rate of every row.
+Features are cut once into at most ``max_bins`` bins at approximate quantiles and kept as bytes, column by column, in blocks of rows.
+A tree grows best-first up to ``max_leaves`` and ``max_depth``: per pass every block adds its rows' gradients to the bins of the
+leaves that may be split next, and the summed histograms give their best splits. Of two new leaves the smaller is counted,
+the other is its parent's rest. A pass counts all leaves that can still be among the next splits, so a tree
+takes about as many passes as it is deep, with the same splits as if they were counted one by one.
 
-Only trees and category levels reach the driver; both are bounded (at most
-2^max_depth leaves per round, at most ``max_bins`` levels per category).
+Gradients are counted in whole parts of ``1 / PARTS``, so histograms are exact in any order, and a
+tree does not depend on how rows are partitioned.
+
+The driver gets bin edges, histograms of at most ``max_leaves`` leaves (2 MB or so each) and trees: nothing that grows with
+rows or levels. Scores are kept with the blocks and written as a table every ``checkpoint_every`` rounds, which
+bounds what a lost executor costs.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import StringIndexerModel, VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from demandloom import params as P
+from demandloom.operators.encoding import CATEGORIES, encode_training
 from demandloom.params import BoostingParams
-from demandloom.sources.storage import freeze
+from demandloom.sources.storage import materialise
 
-CATEGORIES = ["store_id", "item_id"]
 INPUTS = [f"{c}_code" for c in CATEGORIES] + P.FEATURES
+PARTS = float(1 << 16)
+TASKS = 64  # results of so many tasks are merged at a time
 
-
-def category_levels(training: DataFrame, max_levels: int) -> DataFrame:
-    """column, level, code: sorted levels of every category, in one pass.
-
-    Fails when a category has more levels than trees can split on.
-    """
-    pairs = training.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("level")) for c in CATEGORIES
-    ]))).distinct()
-    sizes = pairs.groupBy("column").count().filter(F.col("count") > max_levels)
-    if not sizes.isEmpty():
-        raise ValueError(f"a category has more than {max_levels} levels; raise max_bins")
-    levels = pairs.groupBy("column").agg(F.sort_array(F.collect_list("level")).alias("levels"))
-    return levels.select("column", F.posexplode("levels").alias("code", "level")).select(
-        "column", "level", F.col("code").cast("double").alias("code")
-    )
-
-
-def level_lists(levels: DataFrame) -> dict[str, list[str]]:
-    """Levels by column, in code order; their number was checked when they were built."""
-    rows = levels.orderBy("column", "code").collect()
-    return {c: [r["level"] for r in rows if r["column"] == c] for c in CATEGORIES}
-
-
-def encode(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:
-    """Adds numeric category codes; a level unknown at training fails the job."""
-    for column in CATEGORIES:
-        indexer = StringIndexerModel.from_labels(
-            levels[column], inputCol=column, outputCol=f"{column}_code", handleInvalid="error"
-        )
-        df = indexer.transform(df)
-    return df
+Tree = dict[str, np.ndarray]  # feature (-1: leaf), cut (bin), threshold, left, right, value
 
 
 @dataclass
@@ -65,150 +43,278 @@ class Forest:
 
     start: float
     rate: float
-    levels: dict[str, list[str]]
-    trees: list[dict[str, np.ndarray]]
+    trees: list[Tree]
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         """Expected demand of each row of a feature matrix."""
         score = np.full(len(x), self.start)
-        rows = np.arange(len(x))
         for tree in self.trees:
-            node = np.zeros(len(x), dtype=np.int64)
-            for _ in range(int(tree["depth"])):
-                feature = tree["feature"][node]
-                value = x[rows, np.maximum(feature, 0)]
-                coded = np.clip(value, 0, tree["subset"].shape[1] - 1).astype(np.int64)
-                left = np.where(tree["nominal"][node], tree["subset"][node, coded], value <= tree["threshold"][node])
-                step = np.where(left, tree["left"][node], tree["right"][node])
-                node = np.where(feature >= 0, step, node)
-            score += self.rate * tree["value"][node]
+            score += self.rate * tree["value"][leaves(tree, x.T, "threshold")]
         return np.exp(score)
 
 
-def _flatten(model, leaf_values: dict[int, float], categories: int) -> dict[str, np.ndarray]:
-    """Arrays of one fitted tree; leaves are numbered as the model numbers them."""
-    nodes: list[list] = []
-
-    def visit(node, leaves: list[int]) -> int:
-        index = len(nodes)
-        nodes.append([-1, 0.0, index, index, 0.0, False, []])
-        if node.subtreeDepth() == 0:
-            nodes[index][4] = leaf_values.get(len(leaves), 0.0)
-            leaves.append(index)
-            return index
-        split = node.split()
-        entry = nodes[index]
-        entry[0] = split.featureIndex()
-        if "Categorical" in split.getClass().getSimpleName():
-            entry[5], entry[6] = True, [int(v) for v in split.leftCategories()]
-        else:
-            entry[1] = split.threshold()
-        entry[2] = visit(node.leftChild(), leaves)
-        entry[3] = visit(node.rightChild(), leaves)
-        return index
-
-    visit(model._call_java("rootNode"), [])
-    subset = np.zeros((len(nodes), categories), dtype=bool)
-    for i, entry in enumerate(nodes):
-        subset[i, entry[6]] = True
+def leaves(tree: Tree, columns: np.ndarray, limit: str) -> np.ndarray:
+    """The leaf of every row, given feature columns and the limits to compare them with."""
+    rows = np.arange(columns.shape[1])
+    node = np.zeros(len(rows), np.int64)
+    while True:
+        feature = tree["feature"][node]
+        inner = feature >= 0
+        if not inner.any():
+            return node
+        below = columns[np.maximum(feature, 0), rows] <= tree[limit][node]
+        node = np.where(inner, np.where(below, tree["left"][node], tree["right"][node]), node)
+
+
+# --- blocks of binned rows --------------------------------------------------------------------------
+
+BLOCK = "n int, codes binary, demand binary, score binary"
+
+
+def bin_edges(rows: DataFrame, max_bins: int) -> list[np.ndarray]:
+    """Upper limits of every feature's bins but the last, at approximate quantiles: one pass."""
+    shares = F.array(*[F.lit(k / max_bins) for k in range(1, max_bins)])
+    found = rows.agg(*[F.percentile_approx(c, shares, 20 * max_bins).alias(c) for c in INPUTS], *[F.max(c).alias(f"most_{c}") for c in INPUTS]).first()
+    return [np.array(sorted({v for v in found[c] if v < found[f"most_{c}"]})) for c in INPUTS]
+
+
+def binned_blocks(rows: DataFrame, edges: list[np.ndarray], start: float) -> DataFrame:
+    """Rows of INPUTS and demand as packed blocks, one per Arrow batch."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = np.stack([np.searchsorted(e, batch.column(c).to_numpy(zero_copy_only=False), side="left").astype(np.uint8) for c, e in zip(INPUTS, edges)])
+            demand = batch.column("demand").to_numpy().astype(np.float64)
+            yield pa.RecordBatch.from_pydict({
+                "n": pa.array([batch.num_rows], pa.int32()), "codes": [codes.tobytes()], "demand": [demand.tobytes()],
+                "score": [np.full(batch.num_rows, start).tobytes()],
+            })
+
+    return rows.mapInArrow(pack, BLOCK)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(codes, demand, score) of each block."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            n = batch.column("n")[row].as_py()
+            codes, demand, score = (np.frombuffer(batch.column(c)[row].as_buffer(), k) for c, k in (("codes", np.uint8), ("demand", np.float64), ("score", np.float64)))
+            yield codes.reshape(-1, n), demand, score
+
+
+def with_scores(blocks: DataFrame, tree: Tree, rate: float) -> DataFrame:
+    """The blocks with a tree added to their scores."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for codes, demand, score in _blocks(batches):
+            score = score + rate * tree["value"][leaves(tree, codes, "cut")]
+            yield pa.RecordBatch.from_pydict({"n": pa.array([len(demand)], pa.int32()), "codes": [codes.tobytes()], "demand": [demand.tobytes()], "score": [score.tobytes()]})
+    return blocks.mapInArrow(add, BLOCK)
+
+
+# --- histograms ---------------------------------------------------------------------------------------
+
+COUNTED = "cells binary, loss double, rows long"
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    cells, loss, rows = None, 0.0, 0
+    for batch in batches:
+        for row in range(batch.num_rows):
+            own = np.frombuffer(batch.column("cells")[row].as_buffer(), np.int64)
+            cells = own.copy() if cells is None else cells + own
+            loss, rows = loss + batch.column("loss")[row].as_py(), rows + batch.column("rows")[row].as_py()
+    if cells is not None:
+        yield pa.RecordBatch.from_pydict({"cells": [cells.tobytes()], "loss": [loss], "rows": [rows]})
+
+
+def histograms(blocks: DataFrame, tasks: int, tree: Tree, nodes: list[int], bins: int) -> tuple[np.ndarray, float, int]:
+    """([node, feature, bin, (gradient, hessian, rows)], loss, rows) over all blocks, in parts."""
+    shape = (len(nodes), len(INPUTS), bins, 3)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, loss, rows = np.zeros(shape, np.int64), 0.0, 0
+        slot = np.full(len(tree["feature"]), -1)
+        slot[nodes] = np.arange(len(nodes))
+        for codes, demand, score in _blocks(batches):
+            expected = np.exp(score)
+            loss, rows = loss + float((expected - demand * score).sum()), rows + len(demand)
+            own = slot[leaves(tree, codes, "cut")]
+            wanted = np.flatnonzero(own >= 0)
+            base, codes = own[wanted] * bins, codes[:, wanted]
+            gradient, hessian = np.rint((expected - demand)[wanted] * PARTS), np.rint(expected[wanted] * PARTS)
+            for feature in range(len(INPUTS)):
+                at = base + codes[feature]
+                for k, weights in enumerate((gradient, hessian, None)):  # sums of whole numbers below 2^53 are exact
+                    cells[:, feature, :, k] += np.bincount(at, weights, len(nodes) * bins).astype(np.int64).reshape(len(nodes), bins)
+        if rows:
+            yield pa.RecordBatch.from_pydict({"cells": [cells.tobytes()], "loss": [loss], "rows": [rows]})
+
+    parts = blocks.mapInArrow(count, COUNTED)
+    while tasks > TASKS:
+        tasks = max(1, math.isqrt(tasks))
+        parts = parts.repartition(tasks).mapInArrow(_merged, COUNTED)
+    found = parts.toArrow()  # one row per task, of at most TASKS
+    cells = np.zeros(math.prod(shape), np.int64)
+    for own in found.column("cells"):
+        cells += np.frombuffer(own.as_buffer(), np.int64)
+    return cells.reshape(shape), sum(found.column("loss").to_pylist()), sum(found.column("rows").to_pylist())
+
+
+@dataclass
+class Node:
+    """A leaf or inner node while a tree grows: its sums, its histogram if it may be split, and its best split."""
+
+    total: np.ndarray
+    cells: np.ndarray | None = None
+    gain: float = 0.0
+    feature: int = -1
+    cut: int = -1
+    children: tuple[int, int] | None = None
+    depth: int = 0
+
+    def seek(self, cells: np.ndarray, least_rows: int, l2: float) -> None:
+        self.cells = cells
+        below = cells.cumsum(axis=1)[:, :-1]
+        above = self.total - below
+        value = lambda c: (c[..., 0] / PARTS) ** 2 / (c[..., 1] / PARTS + l2)
+        gain = value(below) + value(above) - value(self.total)
+        gain[(below[..., 2] < least_rows) | (above[..., 2] < least_rows)] = -np.inf
+        best = int(gain.argmax()) if gain.size else 0
+        if gain.size and gain.flat[best] > 1e-12:
+            self.gain = float(gain.flat[best])
+            self.feature, self.cut = divmod(best, gain.shape[1])
+
+    def split(self) -> tuple["Node", "Node"]:
+        below = self.cells[self.feature, : self.cut + 1].sum(axis=0)
+        return Node(below, depth=self.depth + 1), Node(self.total - below, depth=self.depth + 1)
+
+    def leaf_value(self, l2: float) -> float:
+        gradient, hessian, _ = self.total / PARTS
+        return -gradient / (hessian + l2)
+
+
+STUMP = Node(np.zeros(3))
+
+
+def _flat(nodes: list[Node], inner: set[int], edges: list[np.ndarray], l2: float) -> Tree:
+    split = np.array([k in inner for k in range(len(nodes))])
     return {
-        "feature": np.array([n[0] for n in nodes]), "threshold": np.array([n[1] for n in nodes]),
-        "left": np.array([n[2] for n in nodes]), "right": np.array([n[3] for n in nodes]),
-        "value": np.array([n[4] for n in nodes]), "nominal": np.array([n[5] for n in nodes]),
-        "subset": subset, "depth": np.array(model.depth),
+        "feature": np.where(split, [n.feature for n in nodes], -1), "cut": np.array([n.cut for n in nodes]),
+        "threshold": np.array([float(edges[n.feature][n.cut]) if k in inner else 0.0 for k, n in enumerate(nodes)]),
+        "left": np.array([n.children[0] if n.children else 0 for n in nodes]), "right": np.array([n.children[1] if n.children else 0 for n in nodes]),
+        "value": np.array([n.leaf_value(l2) for n in nodes]),
     }
 
 
-def fit_pooled_model(training: DataFrame, settings: BoostingParams = BoostingParams()) -> tuple[Forest, list[float]]:
-    """Fit the pooled model; also returns the training loss after every round.
+def best_first(nodes: list[Node], most: int) -> tuple[list[int], list[int]]:
+    """(nodes split in best-first order, nodes whose children have to be counted to go on)."""
+    queue, inner, wanted = [(-nodes[0].gain, 0)], [], []
+    while queue and len(inner) + len(wanted) + 1 < most:
+        gain, node = heapq.heappop(queue)
+        if gain >= 0:
+            break
+        if nodes[node].children is None:
+            wanted.append(node)  # its children may come before what is next in the queue
+        else:
+            if not wanted:
+                inner.append(node)
+            for child in nodes[node].children:
+                heapq.heappush(queue, (-nodes[child].gain, child))
+    return inner, wanted
+
+
+def grow(count, edges: list[np.ndarray], settings: BoostingParams) -> tuple[Tree, float]:
+    """(one tree, loss before it). count(tree, nodes) gives the histograms of nodes of a tree."""
+    root, loss, rows = count(_flat([STUMP], set(), edges, 1.0), [0])
+    nodes = [Node(root[0][0].sum(axis=0))]
+    nodes[0].seek(root[0], settings.min_leaf_rows, settings.l2)
+    while True:
+        inner, wanted = best_first(nodes, settings.max_leaves)
+        if not wanted:
+            break
+        small = {}
+        for parent in wanted:
+            nodes[parent].children = (len(nodes), len(nodes) + 1)
+            left, right = nodes[parent].split()
+            if left.depth < settings.max_depth:  # the deepest are leaves, which need no histogram
+                small[len(nodes) + int(left.total[2] > right.total[2])] = parent
+            nodes += [left, right]
+        if not small:
+            continue
+        expanded = {k for k, n in enumerate(nodes) if n.children}
+        cells, _, _ = count(_flat(nodes, expanded, edges, settings.l2), list(small))
+        for (child, parent), own in zip(small.items(), cells):
+            nodes[child].seek(own, settings.min_leaf_rows, settings.l2)
+            nodes[sum(nodes[parent].children) - child].seek(nodes[parent].cells - own, settings.min_leaf_rows, settings.l2)
+    # Counted in advance but not reached: their parents stay leaves.
+    kept, order = {0: 0}, [0]
+    for node in order:
+        if node in inner:
+            for child in nodes[node].children:
+                kept[child] = len(order)
+                order.append(child)
+    own = [Node(nodes[k].total, None, nodes[k].gain, nodes[k].feature, nodes[k].cut, tuple(kept[c] for c in nodes[k].children) if k in inner else None) for k in order]
+    return _flat(own, {kept[k] for k in inner}, edges, settings.l2), loss / max(rows, 1)
 
-    The loss of a round comes with the leaf sums of the next one, so a round is the
-    tree's own jobs plus one aggregate.
-    """
-    levels = level_lists(category_levels(training, settings.max_bins))
-    if not all(levels.values()):
-        raise ValueError("no training rows")
-    coded = encode(training.select(*CATEGORIES, *P.FEATURES, F.col("units_sold").cast("double").alias("demand")), levels)
-    rows = VectorAssembler(inputCols=INPUTS, outputCol="features").transform(coded).select("features", "demand")
+
+def fit_pooled_model(training: DataFrame, settings: BoostingParams = BoostingParams()) -> tuple[Forest, list[float]]:
+    """Fit the pooled model; also returns the training loss after every round."""
+    rows = encode_training(training).select(*INPUTS, F.col("units_sold").cast("double").alias("demand"))
+    rows = materialise(_spread(rows), "boosting-rows")
     mean = rows.agg(F.avg("demand")).first()[0]
+    if mean is None:
+        raise ValueError("no training rows")
     if not mean:
         raise ValueError("training demand is zero")
-    start = math.log(mean)
-    widest = max(len(v) for v in levels.values())
-    state = _spread(rows).withColumn("score", F.lit(start)).persist()
-    trees, losses, previous = [], [], None
-    rate = F.exp("score")
-    loss = F.sum(rate - F.col("demand") * F.col("score")).alias("loss")
+    start, edges = math.log(mean), bin_edges(rows, settings.max_bins)
+    bins = max(len(e) for e in edges) + 1
+    blocks = materialise(binned_blocks(rows, edges, start), "boosting-blocks").persist()
+    tasks = blocks.rdd.getNumPartitions()
+    trees: list[Tree] = []
+    losses, previous = [], None
     for number in range(1, settings.rounds + 1):
-        working = state.withColumn("weight", rate).withColumn("response", (F.col("demand") - rate) / rate)
-        tree = DecisionTreeRegressor(
-            featuresCol="features", labelCol="response", weightCol="weight", leafCol="leaf",
-            maxDepth=settings.max_depth, maxBins=max(settings.max_bins, widest),
-            minInstancesPerNode=settings.min_leaf_rows, seed=settings.seed,
-        ).fit(working)
+        tree, loss = grow(lambda grown, nodes: histograms(blocks, tasks, grown, nodes, bins), edges, settings)  # noqa: B023
+        losses.append(loss)
+        trees.append(tree)
         if previous is not None:
             previous.unpersist()
-        placed = tree.transform(working)
-        sums = placed.groupBy("leaf").agg(
-            F.sum(F.col("demand") - F.col("weight")).alias("gradient"), F.sum("weight").alias("hessian"),
-            loss, F.count(F.lit(1)).alias("rows"),
-        ).collect()  # one row per leaf
-        losses.append(sum(r["loss"] for r in sums) / sum(r["rows"] for r in sums))
-        values = {int(r["leaf"]): r["gradient"] / (r["hessian"] + settings.l2) for r in sums}
-        trees.append(_flatten(tree, values, widest))
-        table = F.array(*[F.lit(float(values.get(k, 0.0))) for k in range(max(values) + 1)])
-        step = settings.learning_rate * F.element_at(table, F.col("leaf").cast("int") + 1)
-        following = placed.select("features", "demand", (F.col("score") + step).alias("score"))
-        if number % settings.checkpoint_every == 0:
-            following = freeze(following)
-        previous, state = state, following.persist()
-    losses.append(state.agg(F.sum(rate - F.col("demand") * F.col("score")) / F.count(F.lit(1))).first()[0])
-    for df in (previous, state):
-        df.unpersist()
-    return Forest(start, settings.learning_rate, levels, trees), losses[1:]
+        # The first pass of the next round computes and keeps the new scores.
+        scored = with_scores(blocks, tree, settings.learning_rate)
+        previous, blocks = blocks, (materialise(scored, "boosting-blocks") if number % settings.checkpoint_every == 0 else scored).persist()
+    _, loss, count = histograms(blocks, tasks, _flat([STUMP], set(), edges, 1.0), [0], bins)
+    for df in (previous, blocks):
+        if df is not None:
+            df.unpersist()
+    return Forest(start, settings.learning_rate, trees), [*losses[1:], loss / count]
 
 
 def _spread(rows: DataFrame) -> DataFrame:
-    """Use every core when the table was read as fewer partitions than there are cores."""
+    """At least one partition per core, so that every core counts."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
-# --- persistence as tables ---------------------------------------------------------------------
+# --- persistence as tables ---------------------------------------------------------------------------
 
-def save_forecast_model(spark: SparkSession, forest: Forest, path: str) -> None:
-    """Write the model as two tables: tree nodes, and metadata with features and levels."""
+def save_forecast_model(spark: SparkSession, forest: Forest, codes: DataFrame, path: str) -> None:
+    """Write the model as three tables: tree nodes, category codes, and metadata with features."""
     nodes = [
-        (t, i, int(tree["feature"][i]), float(tree["threshold"][i]), int(tree["left"][i]), int(tree["right"][i]),
-         float(tree["value"][i]), bool(tree["nominal"][i]), [int(c) for c in np.flatnonzero(tree["subset"][i])], int(tree["depth"]))
+        (t, i, int(tree["feature"][i]), int(tree["cut"][i]), float(tree["threshold"][i]), int(tree["left"][i]), int(tree["right"][i]), float(tree["value"][i]))
         for t, tree in enumerate(forest.trees) for i in range(len(tree["feature"]))
     ]
-    spark.createDataFrame(nodes, (
-        "tree int, node int, feature int, threshold double, left int, right int, value double, "
-        "nominal boolean, subset array<int>, depth int"
-    )).write.mode("overwrite").parquet(f"{path}/nodes")
-    spark.createDataFrame(
-        [(forest.start, forest.rate, INPUTS, forest.levels)],
-        "start double, rate double, inputs array<string>, levels map<string, array<string>>",
-    ).write.mode("overwrite").parquet(f"{path}/metadata")
-
-
-def load_forecast_model(spark: SparkSession, path: str) -> Forest:
-    """Read a saved model; its size is bounded by its settings, not by data."""
+    schema = "tree int, node int, feature int, cut int, threshold double, left int, right int, value double"
+    spark.createDataFrame(nodes, schema).write.mode("overwrite").parquet(f"{path}/nodes")
+    codes.write.mode("overwrite").parquet(f"{path}/codes")
+    spark.createDataFrame([(forest.start, forest.rate, INPUTS)], "start double, rate double, inputs array<string>").write.mode("overwrite").parquet(f"{path}/metadata")
+
+
+def load_forecast_model(spark: SparkSession, path: str) -> tuple[Forest, DataFrame]:
+    """Read a saved model and its codes; the trees' size is bounded by settings, not by data."""
     meta = spark.read.parquet(f"{path}/metadata").first()
     if list(meta["inputs"]) != INPUTS:
         raise ValueError("the saved model has other features")
-    levels = {c: list(meta["levels"][c]) for c in CATEGORIES}
-    widest = max(len(v) for v in levels.values())
     nodes = spark.read.parquet(f"{path}/nodes").orderBy("tree", "node").collect()
-    trees = []
-    for number in sorted({n["tree"] for n in nodes}):
-        own = [n for n in nodes if n["tree"] == number]
-        subset = np.zeros((len(own), widest), dtype=bool)
-        for i, n in enumerate(own):
-            subset[i, list(n["subset"])] = True
-        trees.append({
-            **{k: np.array([n[k] for n in own]) for k in ["feature", "threshold", "left", "right", "value", "nominal"]},
-            "subset": subset, "depth": np.array(own[0]["depth"]),
-        })
-    return Forest(meta["start"], meta["rate"], levels, trees)
+    by_tree: dict[int, list] = {}
+    for node in nodes:
+        by_tree.setdefault(node["tree"], []).append(node)
+    trees = [{k: np.array([n[k] for n in own]) for k in ("feature", "cut", "threshold", "left", "right", "value")} for own in by_tree.values()]
+    return Forest(meta["start"], meta["rate"], trees), spark.read.parquet(f"{path}/codes")

@@ -8,7 +8,7 @@ carried to the output but never enters a feature.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -54,21 +54,13 @@ def history_features(history: np.ndarray) -> np.ndarray:
     return np.column_stack(columns)
 
 
-def _codes(batch: pd.DataFrame, levels: dict[str, list[str]]) -> np.ndarray:
-    columns = []
-    for column in P.SERIES:
-        index = {level: code for code, level in enumerate(levels[column])}
-        columns.append([index[value] for value in batch[column]])  # unknown level: KeyError
-    return np.array(columns, dtype=float).T.reshape(len(batch), len(P.SERIES))
-
-
 Score = Callable[[np.ndarray], np.ndarray]
 
 
-def recursive_forecast(state: DataFrame, score: Score, model: str, levels: dict[str, list[str]] | None = None) -> DataFrame:
+def recursive_forecast(state: DataFrame, score: Score, model: str, codes: Sequence[str] = ()) -> DataFrame:
     """Forecast every holdout day of every series.
 
-    score maps a matrix (category codes if levels are given, then P.FEATURES) to demand.
+    score maps a matrix (the state's columns named by codes, then P.FEATURES) to demand.
     """
     def advance(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -76,10 +68,10 @@ def recursive_forecast(state: DataFrame, score: Score, model: str, levels: dict[
                 continue
             history = np.array(batch["history"].tolist(), dtype=float)
             known = np.array([[list(day) for day in days] for days in batch["known"]], dtype=float)
-            codes = _codes(batch, levels) if levels else np.empty((len(batch), 0))
+            own = batch[list(codes)].to_numpy(dtype=float)
             predictions = []
             for step in range(known.shape[1]):
-                x = np.hstack([codes, known[:, step, :], history_features(history)])
+                x = np.hstack([own, known[:, step, :], history_features(history)])
                 predicted = np.maximum(score(x), 0.0)
                 predictions.append(predicted)
                 history = np.hstack([history[:, 1:], predicted[:, None]])

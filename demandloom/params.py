@@ -74,12 +74,12 @@ class BoostingParams:
 
     rounds: int = 150
     learning_rate: float = 0.05
-    max_depth: int = 5
+    max_leaves: int = 31
+    max_depth: int = 6
     min_leaf_rows: int = 40
     l2: float = 1.0
-    max_bins: int = 256
-    seed: int = 42
-    checkpoint_every: int = 5
+    max_bins: int = 255
+    checkpoint_every: int = 10
 
 
 # --- labels and attributes of the reporting dimensions -----------------------------

@@ -10,7 +10,7 @@ from demandloom import params as P
 from demandloom.functions.normal import service_factor
 from demandloom.functions.outcomes import rounded
 from demandloom.operators import (
-    accuracy, allocate, baselines, bi, boosting, features, panel, policy, quality, recursive, reports, star,
+    accuracy, allocate, baselines, bi, boosting, encoding, features, panel, policy, quality, recursive, reports, star,
 )
 from demandloom.plans.workspace import Allocation, Workspace, open_workspace
 from demandloom.sources import retail
@@ -560,7 +560,20 @@ def _(ws):
 
 @query("encode_categories")
 def _(ws):
-    return boosting.category_levels(ws.training, ws.boosting_params.max_bins)
+    return encoding.category_levels(ws.training)
+
+
+@query("encode_targets")
+def _(ws):
+    """column, level, date, code: the category codes that a training day sees."""
+    codes = [encoding.ordered_codes(ws.training, c).select(F.lit(c).alias("column"), "level", "date", "code") for c in encoding.CATEGORIES]
+    return rounded(codes[0].unionByName(codes[1]), 6)
+
+
+@query("encode_final")
+def _(ws):
+    """The codes that forecasts use."""
+    return rounded(ws.codes, 6)
 
 
 @query("fit_pooled_model")
@@ -574,9 +587,8 @@ def _(ws):
 def _(ws):
     """Forecasts of a saved and reloaded model."""
     path = stage_path(ws.spark, "model")
-    boosting.save_forecast_model(ws.spark, ws.fitted[0], path)
-    forest = boosting.load_forecast_model(ws.spark, path)
-    return recursive.recursive_forecast(ws.state, forest.predict, P.BOOSTING, forest.levels)
+    boosting.save_forecast_model(ws.spark, ws.fitted[0], ws.codes, path)
+    return ws.forecast_with(*boosting.load_forecast_model(ws.spark, path))
 
 
 @query("recursive_features")
@@ -630,8 +642,9 @@ def _(ws):
     )
     settings = {
         "model": "PoissonBoostedTrees", "loss": "poisson", "feature_columns": len(boosting.INPUTS),
-        "categorical_features": len(boosting.CATEGORIES), "maximum_iterations": ws.boosting_params.rounds,
-        "completed_iterations": len(losses), "holdout_days": P.HORIZON,
+        "categorical_features": len(encoding.CATEGORIES), "maximum_iterations": ws.boosting_params.rounds,
+        "completed_iterations": len(losses), "holdout_days": P.HORIZON, "final_training_loss": round(losses[-1], 6),
+        "maximum_leaf_nodes": ws.boosting_params.max_leaves, "learning_rate": ws.boosting_params.learning_rate, **ws.seconds,
     }
     row = row.withColumns({n: F.lit(str(v)) for n, v in settings.items()}).withColumns({
         "training_rows": ws.training.agg(F.count(F.lit(1))).scalar().cast("string"),
