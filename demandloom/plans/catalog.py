@@ -66,7 +66,7 @@ def _(ws):
 @query("write_table")
 def _(ws):
     path = stage_path(ws.spark, "load-summary")
-    write_table(reports.load_summary(ws.sales), path, "csv")
+    write_table(reports.load_summary(ws.daily, ws.calendar), path, "csv")
     return ws.spark.read.schema("store_id string, total_units_sold long, average_daily_units double").csv(path, header=True)
 
 
@@ -321,16 +321,16 @@ def _(ws):
 
 @query("dataset_coverage")
 def _(ws):
-    return reports.dataset_coverage(ws.sales)
+    return reports.dataset_coverage(ws.daily, ws.calendar)
 
 
 @query("sales_by_store")
 def _(ws):
-    return reports.sales_by_store(ws.sales, ws.stores)
+    return reports.sales_by_store(ws.daily, ws.calendar, ws.stores)
 
 
 def _priced(ws: Workspace) -> DataFrame:
-    return reports.priced_sales(ws.sales, ws.calendar, ws.prices)
+    return reports.priced_weeks(ws.daily, ws.calendar, ws.prices)
 
 
 @query("revenue_by_store")
@@ -340,7 +340,7 @@ def _(ws):
 
 @query("top_products_by_demand")
 def _(ws):
-    return reports.top_products_by_demand(ws.sales, ws.items)
+    return reports.top_products_by_demand(ws.daily, ws.calendar, ws.items)
 
 
 @query("top_products_by_revenue")
@@ -350,22 +350,22 @@ def _(ws):
 
 @query("monthly_demand_trend")
 def _(ws):
-    return reports.monthly_demand_trend(ws.sales, ws.calendar)
+    return reports.monthly_demand_trend(ws.daily, ws.calendar)
 
 
 @query("demand_by_weekday")
 def _(ws):
-    return reports.demand_by_weekday(ws.sales, ws.calendar)
+    return reports.demand_by_weekday(ws.daily, ws.calendar)
 
 
 @query("price_data_coverage")
 def _(ws):
-    return reports.price_data_coverage(ws.sales, ws.calendar, ws.prices)
+    return reports.price_data_coverage(ws.daily, ws.calendar, ws.prices)
 
 
 @query("load_summary")
 def _(ws):
-    return reports.load_summary(ws.sales)
+    return reports.load_summary(ws.daily, ws.calendar)
 
 
 # --- panels ------------------------------------------------------------------------------------------
