@@ -46,7 +46,7 @@ CONTAINED = (100, 80)  # dropped if 100 * f(longer) >= 80 * f(phrase)
 UNKNOWN = "und"
 
 NAME_BITS = 26            # the table by which phrases are found again has 2^26 bits
-HELD = 1 << 19            # stretches that a task combines before it sends them on
+HELD = 3 << 17            # stretches that a task combines before it sends them on
 IN_GROUP = 1 << 19        # stretches of a group that a task sorts at once, about
 SAMPLED = 2000            # texts that show which words and pairs are frequent
 CODES = (1 << 16) - 2     # words with a code
