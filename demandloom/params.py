@@ -87,7 +87,7 @@ MODEL_DIMENSION = [
     ("last_value_naive", "Last-value naïve", "Statistical baseline", 1),
     ("weekly_seasonal_naive", "Weekly seasonal naïve", "Statistical baseline", 2),
     ("adaptive_baseline", "Adaptive baseline", "Backtest-selected baseline", 3),
-    ("hist_gradient_boosting", "Histogram gradient boosting", "Machine learning", 4),
+    ("hist_gradient_boosting", "Gradient-boosted trees", "Machine learning", 4),
 ]
 POLICY_DIMENSION = [
     ("point_forecast_order", "Point-forecast order", 0, 1),
@@ -100,6 +100,6 @@ SCENARIO_DIMENSION = [
 ]
 METHOD_DIMENSION = [
     ("proportional_heuristic", "Proportional heuristic", "Heuristic", 1),
-    ("milp_optimised", "Target-shortfall MILP", "Deterministic optimisation", 2),
-    ("stochastic_expected_cost_milp", "Stochastic expected-cost MILP", "Stochastic optimisation", 3),
+    ("milp_optimised", "Least weighted shortfall", "Priced selection", 2),
+    ("stochastic_expected_cost_milp", "Least expected cost", "Priced selection over demand scenarios", 3),
 ]

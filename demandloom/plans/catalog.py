@@ -86,20 +86,20 @@ def bi_tables(ws: Workspace, allocations: Allocation, forecasts: DataFrame) -> d
     """The exported star schema with the grain of each table."""
     daily = bi.actual_daily(forecasts)
     return {
-        "dim_store": (bi.store_dimension(ws.stores), "One row per store"),
-        "dim_item": (bi.item_dimension(ws.items), "One row per product"),
-        "dim_date": (bi.date_dimension(ws.calendar), "One row per calendar day"),
-        "dim_model": (bi.model_dimension(ws.spark), "One row per forecast model"),
-        "dim_inventory_policy": (bi.policy_dimension(ws.spark), "One row per inventory policy"),
-        "dim_constraint_scenario": (bi.scenario_dimension(ws.spark), "One row per resource-constraint scenario"),
-        "dim_allocation_method": (bi.method_dimension(ws.spark), "One row per inventory-allocation method"),
-        "fact_actual_daily": (daily, "One row per store, product, and holdout day"),
-        "fact_actual_horizon": (bi.actual_horizon(daily), "One row per store and product for the 28-day holdout"),
-        "fact_forecast_daily": (bi.forecast_daily(forecasts), "One row per model, store, product, and holdout day"),
-        "fact_inventory_policy": (bi.inventory_policy_fact(allocations.policies), "One row per model, policy, store, and product"),
+        "dim_store": (bi.store_dimension(ws.stores), "key: store_id"),
+        "dim_item": (bi.item_dimension(ws.items), "key: item_id"),
+        "dim_date": (bi.date_dimension(ws.calendar), "key: date"),
+        "dim_model": (bi.model_dimension(ws.spark), "key: model"),
+        "dim_inventory_policy": (bi.policy_dimension(ws.spark), "key: policy"),
+        "dim_constraint_scenario": (bi.scenario_dimension(ws.spark), "key: scenario"),
+        "dim_allocation_method": (bi.method_dimension(ws.spark), "key: method"),
+        "fact_actual_daily": (daily, "keys: store_id, item_id, date"),
+        "fact_actual_horizon": (bi.actual_horizon(daily), "keys: store_id, item_id"),
+        "fact_forecast_daily": (bi.forecast_daily(forecasts), "keys: model, store_id, item_id, date"),
+        "fact_inventory_policy": (bi.inventory_policy_fact(allocations.policies), "keys: model, policy, store_id, item_id"),
         "fact_constrained_allocation": (
             bi.allocation_fact(allocations.combined, allocations.model),
-            "One row per constraint scenario, allocation method, store, and product",
+            "keys: scenario, method, store_id, item_id",
         ),
     }
 

@@ -17,7 +17,7 @@ def policy_assumptions(spark: SparkSession) -> DataFrame:
         ("shortage_cost_per_unserved_unit", P.SHORTAGE_COST),
         ("critical_ratio", round(P.CRITICAL_RATIO, 4)),
         ("normal_service_factor", round(P.SERVICE_FACTOR, 4)),
-        ("cost_unit_interpretation", "Relative cost units, not currency"),
+        ("cost_unit_interpretation", "costs compare orders with each other; they are no amounts of money"),
     ])
 
 
@@ -29,8 +29,8 @@ def constrained_assumptions(spark: SparkSession, source_model: str = P.BOOSTING)
         ("minimum_target_coverage", P.MINIMUM_COVERAGE),
         ("holding_cost_per_unit", P.HOLDING_COST),
         ("shortage_cost_per_unit", P.SHORTAGE_COST),
-        ("capacity_interpretation", "Unit-count proxy because product volume data is unavailable"),
-        ("cost_interpretation", "Procurement spend is simulated; operational costs are relative units"),
+        ("capacity_interpretation", "a store's room is a number of units, as the tables hold no sizes"),
+        ("cost_interpretation", "spend follows from an assumed share of the sell price; shortage and holding costs only compare orders"),
     ]
     for name, budget, capacity in P.RESOURCE_SCENARIOS:
         rows += [(f"{name}_budget_ratio", budget), (f"{name}_capacity_ratio", capacity)]
@@ -39,11 +39,11 @@ def constrained_assumptions(spark: SparkSession, source_model: str = P.BOOSTING)
 
 def stochastic_assumptions(spark: SparkSession) -> DataFrame:
     rows = [
-        ("stochastic_objective", "Expected shortage cost plus expected holding cost"),
+        ("stochastic_objective", "mean of shortage and holding cost over the demand scenarios"),
         ("shortage_cost_per_unit", P.SHORTAGE_COST),
         ("holding_cost_per_unit", P.HOLDING_COST),
         ("minimum_target_coverage", P.MINIMUM_COVERAGE),
-        ("actual_holdout_usage", "Evaluation only; excluded from optimisation"),
+        ("actual_holdout_usage", "held-out demand judges orders and never chooses them"),
     ]
     rows += [(f"demand_scenario_{n}", f"z={z}, probability={p}") for n, z, p in P.DEMAND_SCENARIOS]
     return _table(spark, rows)
