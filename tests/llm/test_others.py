@@ -6,11 +6,12 @@ from collections import Counter
 from itertools import chain
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from demandloom.llm import queries, sampled_pieces as pieces
+from demandloom.llm import queries, sampled_pieces as pieces, topk_search as topk
 from demandloom.llm.oracle import ORACLE
 from demandloom.llm.secret_scan import secret_scan
 from demandloom.llm.topk_search import topk_search
@@ -43,6 +44,33 @@ def test_search_with_ties_and_odd_vectors(spark):
     assert topk_search(frame.filter("vec_id in (0, 1, 2)")).count() == 2  # fewer than k candidates: all
 
 
+@pytest.mark.parametrize("length, size", [(3, 1e6), (5, 2e7), (20_000, 2.0), (9, 16_384.0)])
+def test_search_is_exact_for_large_and_long_vectors(spark, length, size):
+    rng = np.random.default_rng(length)
+    vectors = rng.uniform(-size, size, (45, length))
+    vectors[7] = vectors[3]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>").repartition(3)
+    whole = [[math.floor(64 * x) for x in v] for v in vectors.tolist()]
+    expected = []
+    for query in range(0, 45, 20):
+        scores = sorted((-sum(a * b for a, b in zip(whole[query], v)), i) for i, v in enumerate(whole) if i != query)
+        expected += [(query, rank, i, -s) for rank, (s, i) in enumerate(scores[:20], 1)]
+    assert sorted(map(tuple, topk_search(frame).collect())) == expected
+
+
+def test_search_refuses_scores_beyond_64_bits(spark):
+    frame = spark.createDataFrame([(0, [1e9, 1.0]), (1, [1e9, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        topk_search(frame).collect()
+
+
+def test_search_over_several_query_blocks(spark, monkeypatch):
+    frame = spark.read.parquet(f"{FOLDER}/embeddings.parquet")
+    whole = sorted(map(tuple, topk_search(frame).collect()))
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 7)
+    assert sorted(map(tuple, topk_search(frame).collect())) == whole
+
+
 # --- URLs --------------------------------------------------------------------------------------
 
 def test_hosts_paths_and_rules(spark):
