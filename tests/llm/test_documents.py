@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandloom.llm import byte_tokens, packing, queries, token_counts
+from demandloom.llm.components import components
 from demandloom.llm.jaccard import drop_near_copies, jaccard_join, least_matches
 from demandloom.llm.pii import mask_personal, pii_digest
 from demandloom.llm.quality_rules import keep_good, ordered_rules, quality_rules, rules, with_counts
@@ -131,6 +132,27 @@ def test_join_of_odd_rows(odd):
     assert jaccard_join(odd.limit(0)).count() == 0
 
 
+def test_components_with_hubs_and_paths(spark):
+    rng = np.random.default_rng(9)
+    pairs = [(900_000, k) for k in range(3000)] + [(k, k + 1) for k in range(500_000, 500_150)] + [(7, 7), (None, 4), (950_000, 950_001)]
+    pairs += [(int(a) + 100_000, int(b) + 100_000) for a, b in rng.integers(0, 400, (250, 2))]
+    pairs = [pairs[k] for k in rng.permutation(len(pairs))]
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        if None not in (a, b) and a != b:
+            a, b = sorted((find(a), find(b)))
+            parent[b] = a
+    got = components(spark.createDataFrame(pairs, "a long, b long"))
+    assert sorted(map(tuple, got.collect())) == sorted((x, find(x)) for x in parent)
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_pruning_bound_keeps_pairs_at_the_threshold():
     rng = np.random.default_rng(2)
     matches = rng.binomial(112, 0.8, 200_000)
@@ -318,6 +340,30 @@ def test_deficits_stay_under_one_packet(spark):
             assert -packing.SEQUENCE < done[name] - window * packing.WINDOW_TOKENS * total[name] / everything <= 0
 
 
+def test_windows_hold_the_given_mixture(spark):
+    rng = np.random.default_rng(6)
+    rows = [(k, "big" if k % 10 else "small", int(rng.integers(1, 5000))) for k in range(2000)]
+    sizes, weights = spark.createDataFrame(rows, "row long, source string, doc_tokens long"), {"big": 3, "small": 2}
+    source, served = {r[0]: r[1] for r in rows}, defaultdict(Counter)
+    for p in packing.planned(sizes, weights).collect():
+        served[p.window][source[p.row]] += p.length
+    assert sum(map(Counter.total, served.values())) == sum(r[2] for r in rows)
+    ends = {name: max(w for w in served if served[w][name]) for name in weights}
+    done = Counter()
+    for window in sorted(served):
+        done += served[window]
+        for name in weights:
+            if window < ends[name]:  # while the queue lasts
+                assert -packing.SEQUENCE < done[name] - window * packing.WINDOW_TOKENS * weights[name] / 5 <= 0
+
+
+@pytest.mark.parametrize("weight", [0, -1])
+def test_weights_start_at_one(spark, weight):
+    sizes = spark.createDataFrame([(1, "a", 5)], "row long, source string, doc_tokens long")
+    with pytest.raises(ValueError):
+        packing.planned(sizes, {"a": weight})
+
+
 def test_packing_of_odd_rows(odd):
     pieces = packing.pack(odd).collect()
     assert sum(p.length for p in pieces if p.doc_id in (1, 2)) == 2
