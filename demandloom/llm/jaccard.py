@@ -280,4 +280,5 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """One document of each class, the one with the smallest doc_id; rows without doc_id stay."""
     gone = materialise(jaccard_join(docs).filter("class_id != doc_id").select("doc_id"), "jaccard-gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id"))
+    return own.join(gone, "doc_id", "left_anti").select("row.*")

@@ -5,7 +5,8 @@ drops. Positions come without markers in the text: a split by the format gives t
 between matches, and lengths of parts and matches add up to code point offsets.
 
 Bootstrap: base spans are seeds. A *pattern* is the pair of words before an identifier and
-the word after it; an *instance* is an identifier-like token (it holds a digit) or a base
+the word after it, as far as they lie within ``CONTEXT`` characters of it (a longer word
+counts by its part there); an *instance* is an identifier-like token (it holds a digit) or a base
 span, by its text. The graph of patterns and instances is scored in rounds: a pattern of a
 kind is worth the share of its instances' belief in that kind, an instance is believed by
 the noisy-or of its patterns. Patterns under ``MIN_SEEDS`` distinct believed instances or
@@ -29,6 +30,8 @@ from demandloom.llm.words import WORD_GAP
 from demandloom.sources.storage import freeze, materialise
 
 KINDS = ["email", "ip", "card", "phone"]
+#: Characters on each side of a token that its pattern is read from.
+CONTEXT = 80
 #: Fixed formats. Possessive forms of the stated ones: what follows each repeat can't be part
 #: of it, so giving back never helps. The look-behind starts a match where a run of its
 #: first class starts or the last match ended, where the leftmost match must start.
@@ -65,12 +68,12 @@ def _is(kind: str):
 
 
 def _last_words(part: Column, count: int) -> Column:
-    words = F.filter(F.split(F.lower(F.right(part, F.lit(80))), WORD_GAP), lambda w: w != "")
+    words = F.filter(F.split(F.lower(F.right(part, F.lit(CONTEXT))), WORD_GAP), lambda w: w != "")
     return F.concat_ws(" ", F.slice(words, F.greatest(F.size(words) - (count - 1), F.lit(1)), F.lit(count)))
 
 
 def _first_word(part: Column) -> Column:
-    return F.regexp_extract(F.lower(F.left(part, F.lit(80))), r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)", 1)
+    return F.regexp_extract(F.lower(F.left(part, F.lit(CONTEXT))), r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)", 1)
 
 
 def matches(docs: DataFrame) -> DataFrame:
@@ -197,13 +200,12 @@ def mask_personal(docs: DataFrame) -> DataFrame:
         F.array_join(done["parts"], ""), F.substring(text, done["at"] + 1, F.length(text))
     ))
     touched = F.col("_pii_spans").isNotNull() & text.isNotNull()
-    now = {"text": F.when(touched, masked).otherwise(text)}
     same = F.col("doc_id").eqNullSafe(F.col("_pii_doc")) & (F.xxhash64("text") == F.col("_pii_hash"))
-    joined = docs.join(marks, same, "left").withColumn("_pii_text", now["text"])
-    columns = []
-    for c in docs.columns:
-        value = F.col("_pii_text") if c == "text" else F.col(c)
-        if c == "n_chars":
-            value = F.when(touched, F.length("_pii_text")).otherwise(F.col(c)).cast(docs.schema[c].dataType)
-        columns.append(value.alias(c))
-    return joined.select(*columns)
+    # The row goes along as a struct, so its other columns may have any names.
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_pii_row"), "doc_id", "text")
+    joined = own.join(marks, same, "left").withColumn("_pii_text", F.when(touched, masked).otherwise(text))
+    now = {"text": F.col("_pii_text")}
+    if "n_chars" in docs.columns:
+        before = F.col("_pii_row").getField("n_chars")
+        now["n_chars"] = F.when(touched, F.length("_pii_text")).otherwise(before).cast(docs.schema["n_chars"].dataType)
+    return joined.select(*[now.get(c, F.col("_pii_row").getField(c)).alias(c) for c in docs.columns])

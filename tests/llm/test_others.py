@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from demandloom.llm import queries, sampled_pieces as pieces, topk_search as topk
 from demandloom.llm.oracle import ORACLE
+from demandloom.llm.quality_rules import keep_good
 from demandloom.llm.secret_scan import secret_scan
 from demandloom.llm.topk_search import topk_search
 from demandloom.llm.url_filter import best_split, url_verdicts
@@ -261,3 +262,21 @@ def test_stages_keep_odd_rows_whole(spark, odd):
         docs = stage(spark, docs, FOLDER)
         assert docs.columns == odd.columns
     assert list(chain.from_iterable(docs.filter("doc_id is null").select("text").collect())) == ["a b c d e f g h i j k l"]
+
+
+def test_stages_carry_any_column_names(spark, odd):
+    names = {"a.b": F.col("n_words"), "_pii_doc": F.lit(1), "_pii_text": F.lit("t"), "row": F.lit(2), "label": F.lit("l"), "class_id": F.lit(3), "c": F.lit(4)}
+    docs = named = odd.withColumns(names)
+    assert corpus_pipeline.STAGES[0][1](spark, named, FOLDER).columns == named.columns
+    for _, stage in corpus_pipeline.STAGES[1:-1]:
+        docs = stage(spark, docs, FOLDER)
+        assert docs.columns == named.columns
+    assert docs.filter("text = 'a b c d e f g h i j k l' and `a.b` = 3 and row = 2 and c = 4").count() == 1
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).count() > 0
+
+
+def test_quality_carries_any_column_names(spark, documents):
+    named = documents.withColumns({"a.b": F.col("doc_id") + 1, "row": F.lit(2)})
+    kept = keep_good(named)
+    assert kept.columns == named.columns and kept.count() == keep_good(documents).count() > 0
+    assert kept.filter("`a.b` != doc_id + 1 or row != 2").isEmpty()
