@@ -78,8 +78,11 @@ def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def planned(sizes: DataFrame, targets: Mapping[str, int] | None = None) -> DataFrame:
     """row, start, length, window, sequence_id, offset of all pieces of rows (row, source, doc_tokens).
 
-    ``targets`` gives each source an integer weight; sources that it lacks have weight 1.
+    ``targets`` gives each source an integer weight of at least 1, others raise a ValueError;
+    sources that it lacks have weight 1.
     """
+    if targets is not None and any(int(weight) < 1 for weight in targets.values()):
+        raise ValueError("weights of sources start at 1")
     spark = sizes.sparkSession
     totals = sizes.groupBy("source").agg(F.sum("doc_tokens").alias("weight"))
     if targets is not None:
