@@ -61,7 +61,8 @@ def priority_weights(plan: DataFrame, prices: DataFrame) -> DataFrame:
     """Unit cost and a weight from the store-relative forecast and uncertainty.
 
     Store maxima are aggregated (combining before the shuffle) and joined back; a window
-    over the store would put a whole store in one task.
+    over the store would put a whole store in one task. A series without a price stays, with
+    a null cost.
     """
     maxima = plan.groupBy("store_id").agg(
         F.max("forecast_total_units").alias("top_demand"), F.max("uncertainty_std_28").alias("top_spread")
@@ -70,7 +71,7 @@ def priority_weights(plan: DataFrame, prices: DataFrame) -> DataFrame:
         return F.col(value) / F.when(F.col(top) == 0, F.lit(1.0)).otherwise(F.col(top))
     weight = 1.0 + 0.5 * share("forecast_total_units", "top_demand") + 0.5 * share("uncertainty_std_28", "top_spread")
     return (
-        plan.join(prices, P.SERIES).join(maxima, "store_id")
+        plan.join(prices, P.SERIES, "left").join(maxima, "store_id")
         .withColumn("unit_purchase_cost", P.PROCUREMENT_SHARE * F.col("average_sell_price"))
         .withColumn("priority_weight", weight)
         .drop("top_demand", "top_spread")

@@ -24,7 +24,8 @@ def horizon_totals(forecasts: DataFrame) -> DataFrame:
 def demand_uncertainty(panel: DataFrame, start: Column) -> DataFrame:
     """Spread of 28-day demand totals over the last 365 training days.
 
-    Series are dense, so the last 365 days are a date range, which prunes the scan.
+    Series are dense, so the last 365 days are a date range. The range is pushed to the scan, which
+    skips row groups by their dates at best: the stage is laid out by series.
     """
     recent = panel.filter((F.col("date") < start) & (F.col("date") >= F.date_sub(start, P.UNCERTAINTY_DAYS)))
     frame = Window.partitionBy(*P.SERIES).orderBy("date").rowsBetween(1 - P.HORIZON, 0)
@@ -42,15 +43,21 @@ def demand_uncertainty(panel: DataFrame, start: Column) -> DataFrame:
 def inventory_policies(
     totals: DataFrame, uncertainty: DataFrame, factor: float = P.SERVICE_FACTOR
 ) -> DataFrame:
-    """Two rows per model and series: order the forecast, or add safety stock to it."""
+    """Two rows per model and series: order the forecast, or add safety stock to it.
+
+    A series without a spread (too few days) stays, with a null order in the second row.
+    """
     demand = totals.select(
         F.col("model").alias("forecast_model"), *P.SERIES, "forecast_total_units",
         F.col("actual_total_units").cast("double").alias("actual_demand_units"),
-    ).join(uncertainty.select(*P.SERIES, "uncertainty_std_28"), P.SERIES)
+    ).join(uncertainty.select(*P.SERIES, "uncertainty_std_28"), P.SERIES, "left")
     orders = demand.withColumn("service_factor", F.lit(factor)).withColumn(
         "point", whole_units(F.col("forecast_total_units"))
     ).withColumn(
-        "adjusted", whole_units(F.col("forecast_total_units") + factor * F.col("uncertainty_std_28"))
+        "adjusted", F.when(
+            F.col("uncertainty_std_28").isNotNull(),
+            whole_units(F.col("forecast_total_units") + factor * F.col("uncertainty_std_28")),
+        )
     )
     policies = F.array(
         F.struct(F.lit(P.POINT_POLICY).alias("inventory_policy"), F.col("point").alias("order_quantity")),

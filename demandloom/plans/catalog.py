@@ -150,7 +150,9 @@ def _(ws):
         "price_positive": price_known,
         **{f"snap_{s}_flag": F.col(f"snap_{s}").isin(0, 1) for s in P.SNAP_STATES},
     }
-    return quality.range_violations(ws.panel, rules)
+    quantity = F.col("l_quantity")
+    lines = {"quantity_whole": quantity == F.floor(quantity), "quantity_positive": quantity > 0}
+    return quality.range_violations(ws.panel, rules).unionByName(quality.range_violations(ws.table("lineitem"), lines))
 
 
 @query("dq_foreign_keys")
@@ -161,9 +163,52 @@ def _(ws):
         ("fact_sales", ws.sales, ws.calendar, "day_id"), ("fact_prices", ws.prices, ws.items, "item_id"),
         ("fact_prices", ws.prices, ws.stores, "store_id"), ("fact_prices", ws.prices, ws.calendar, "wm_yr_wk"),
         ("lineitem", lines.withColumnRenamed("l_orderkey", "o_orderkey"), ws.table("orders"), "o_orderkey"),
+        ("lineitem", lines.withColumnRenamed("l_partkey", "p_partkey"), ws.table("part"), "p_partkey"),
+        ("lineitem", lines.withColumnRenamed("l_suppkey", "s_suppkey"), ws.table("supplier"), "s_suppkey"),
+        ("supplier", ws.table("supplier").withColumnRenamed("s_nationkey", "n_nationkey"), ws.table("nation"), "n_nationkey"),
+        ("nation", ws.table("nation").withColumnRenamed("n_regionkey", "r_regionkey"), ws.table("region"), "r_regionkey"),
     ])
 
 
+#: Key and references (to the dimension, by column) of each published fact.
+FACT_RULES = {
+    "fact_actual_daily": ([*P.SERIES, "date"], [("dim_store", "store_id"), ("dim_item", "item_id"), ("dim_date", "date_key")]),
+    "fact_actual_horizon": (P.SERIES, [("dim_store", "store_id"), ("dim_item", "item_id")]),
+    "fact_forecast_daily": (
+        ["model_id", *P.SERIES, "date"],
+        [("dim_model", "model_id"), ("dim_store", "store_id"), ("dim_item", "item_id"), ("dim_date", "date_key")],
+    ),
+    "fact_inventory_policy": (
+        ["model_id", "policy_id", *P.SERIES],
+        [("dim_model", "model_id"), ("dim_inventory_policy", "policy_id"), ("dim_store", "store_id"), ("dim_item", "item_id")],
+    ),
+    "fact_constrained_allocation": (
+        ["scenario_id", "allocation_method_id", *P.SERIES],
+        [("dim_constraint_scenario", "scenario_id"), ("dim_allocation_method", "allocation_method_id"), ("dim_model", "model_id"),
+         ("dim_inventory_policy", "policy_id"), ("dim_store", "store_id"), ("dim_item", "item_id")],
+    ),
+}
+
+
+def fact_problems(tables: dict[str, DataFrame]) -> DataFrame:
+    """fact_table, rule, violations: duplicated keys and references without a dimension row, all facts."""
+    result = None
+    for name, (key, references) in FACT_RULES.items():
+        checks = [quality.duplicate_keys(tables[name], key).agg(F.count(F.lit(1)).alias("violations")).select(F.lit("key").alias("rule"), "violations")]
+        for dimension, column in references:
+            orphans = quality.orphan_keys(tables[name], tables[dimension], [column])
+            checks.append(orphans.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(column).alias("rule"), "violations"))
+        for check in checks:
+            part = check.select(F.lit(name).alias("fact_table"), "rule", "violations")
+            result = part if result is None else result.unionByName(part)
+    return result
+
+
+@query("dq_published_facts")
+def _(ws):
+    return fact_problems({name: table for name, (table, _) in bi_tables(ws, ws.allocation, ws.forecasts).items()})
+
+
 @query("dq_series_completeness")
 def _(ws):
     """Series with days missing before zero days are filled in."""

@@ -1,7 +1,8 @@
 """Stages of the analysis over one source folder.
 
 A stage is a DataFrame; those that several later stages read are written once to the
-shared folder (``materialise``), everything else stays a lazy plan. The raw lines are
+shared folder, most of them under rules that stop the work (``checked_stage``); everything
+else stays a lazy plan. The raw lines are
 read by a single stage, whose result has at most one row per series and day.
 """
 
@@ -13,7 +14,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from demandloom import params as P
-from demandloom.operators import accuracy, allocate, baselines, boosting, encoding, features, panel, policy, recursive
+from demandloom.operators import accuracy, allocate, baselines, boosting, encoding, features, gates, panel, policy, recursive
+from demandloom.operators.gates import checked_stage
 from demandloom.params import BoostingParams
 from demandloom.sources import retail
 from demandloom.sources.retail import Grain
@@ -38,11 +40,13 @@ class Workspace:
     # --- star schema ---------------------------------------------------------------
     @cached_property
     def daily(self) -> DataFrame:
-        return materialise(retail.daily_totals(self.spark, self.folder, self.grain), "daily")
+        return checked_stage(
+            retail.daily_totals(self.spark, self.folder, self.grain), "daily", gates.daily_rules(), drop=["fractions"]
+        )
 
     @cached_property
     def calendar(self) -> DataFrame:
-        return materialise(retail.calendar(self.daily), "calendar")
+        return checked_stage(retail.calendar(self.daily), "calendar", gates.calendar_rules())
 
     @cached_property
     def items(self) -> DataFrame:
@@ -54,13 +58,15 @@ class Workspace:
 
     @cached_property
     def prices(self) -> DataFrame:
-        return materialise(retail.weekly_prices(self.daily), "prices")
+        return checked_stage(retail.weekly_prices(self.daily), "prices", gates.price_rules())
 
     @cached_property
     def dense(self) -> DataFrame:
         """Series, date, day_number, day_id, units_sold: one row per series and day."""
         rows = retail.dense_days(self.daily, self.calendar)
-        return materialise(rows.withColumn("day_id", F.concat(F.lit("d_"), F.col("day_number").cast("string"))), "dense")
+        return checked_stage(
+            rows.withColumn("day_id", F.concat(F.lit("d_"), F.col("day_number").cast("string"))), "dense", gates.dense_rules()
+        )
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -98,7 +104,7 @@ class Workspace:
 
     @cached_property
     def adaptive(self) -> DataFrame:
-        return materialise(baselines.adaptive_forecasts(self.candidates, self.selection), "adaptive")
+        return checked_stage(baselines.adaptive_forecasts(self.candidates, self.selection), "adaptive", gates.forecast_rules())
 
     @cached_property
     def forecasts(self) -> DataFrame:
@@ -140,7 +146,7 @@ class Workspace:
     def boosted(self) -> DataFrame:
         forest = self.fitted[0]
         began = time.perf_counter()
-        result = materialise(self.forecast_with(forest, self.codes), "boosted")
+        result = checked_stage(self.forecast_with(forest, self.codes), "boosted", gates.forecast_rules())
         self.seconds["recursive_forecast_seconds"] = round(time.perf_counter() - began, 2)
         return result
 
@@ -161,13 +167,17 @@ class Workspace:
     @cached_property
     def policies(self) -> DataFrame:
         models = self.forecasts.filter(F.col("model").isin(P.ADAPTIVE, "weekly_seasonal_naive"))
-        return materialise(policy.inventory_policies(policy.horizon_totals(models), self.uncertainty), "policies")
+        return checked_stage(
+            policy.inventory_policies(policy.horizon_totals(models), self.uncertainty), "policies", gates.policy_rules()
+        )
 
     @cached_property
     def boosted_policies(self) -> DataFrame:
         columns = baselines.FORECAST_COLUMNS
         models = self.boosted.select(*columns).unionByName(self.adaptive.select(*columns))
-        return materialise(policy.inventory_policies(policy.horizon_totals(models), self.uncertainty), "policies")
+        return checked_stage(
+            policy.inventory_policies(policy.horizon_totals(models), self.uncertainty), "policies", gates.policy_rules()
+        )
 
     @cached_property
     def allocation(self) -> Allocation:
@@ -191,7 +201,7 @@ class Allocation:
         own = self.workspace
         plan = allocate.target_plan(self.policies, self.model)
         prices = allocate.average_prices(own.prices, own.calendar, own.start)
-        return materialise(allocate.priority_weights(plan, prices), "targets")
+        return checked_stage(allocate.priority_weights(plan, prices), "targets", gates.target_rules())
 
     @cached_property
     def limits(self) -> DataFrame:
@@ -200,7 +210,7 @@ class Allocation:
     def _by_price(self, ladder: DataFrame, method: str) -> tuple[DataFrame, DataFrame]:
         allocation, prices = allocate.allocate_by_price(self.targets, self.limits, ladder, freeze)
         rows = allocate.allocation_outcomes(self.targets, self.limits, allocation, method)
-        return materialise(rows, method), prices
+        return checked_stage(rows, method, gates.allocation_rules()), prices
 
     @cached_property
     def _shortfall(self) -> tuple[DataFrame, DataFrame]:
@@ -230,7 +240,7 @@ class Allocation:
     def proportional(self) -> DataFrame:
         allocation = allocate.allocate_proportional(self.targets, self.limits, freeze)
         rows = allocate.allocation_outcomes(self.targets, self.limits, allocation, P.PROPORTIONAL)
-        return materialise(rows, P.PROPORTIONAL)
+        return checked_stage(rows, P.PROPORTIONAL, gates.allocation_rules())
 
     @cached_property
     def constrained(self) -> DataFrame:

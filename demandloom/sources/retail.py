@@ -70,7 +70,11 @@ def item_lookup(spark: SparkSession, folder: str, grain: Grain) -> DataFrame:
 
 
 def daily_totals(spark: SparkSession, folder: str, grain: Grain) -> DataFrame:
-    """store_id, item_id, date, units, revenue: one row per day with sales."""
+    """store_id, item_id, date, units, revenue, fractions: one row per day with sales.
+
+    Lines of unknown parts, suppliers or nations stay, with a null item or store; ``fractions`` counts
+    the lines whose quantity is no whole number. The stage's rules stop on both.
+    """
     lines = scan_filtered(
         spark, folder, "lineitem", ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
     )
@@ -79,13 +83,14 @@ def daily_totals(spark: SparkSession, folder: str, grain: Grain) -> DataFrame:
     stores = places(spark, folder, grain).select("n_nationkey", "store_id")
     # One table per join, so that each side's size is its file size and not a guess.
     return (
-        lines.join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
-        .join(items, lines.l_partkey == items.p_partkey)
-        .join(stores, F.col("s_nationkey") == stores.n_nationkey)
+        lines.join(suppliers, lines.l_suppkey == suppliers.s_suppkey, "left")
+        .join(items, lines.l_partkey == items.p_partkey, "left")
+        .join(stores, F.col("s_nationkey") == stores.n_nationkey, "left")
         .groupBy("store_id", "item_id", F.to_date("l_shipdate").alias("date"))
         .agg(
             F.sum("l_quantity").cast("long").alias("units"),
             F.sum("l_extendedprice").alias("revenue"),
+            F.count_if(F.col("l_quantity") != F.floor("l_quantity")).alias("fractions"),
         )
     )
 
