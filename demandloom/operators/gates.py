@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from demandloom import params as P
 from demandloom.operators.quality import DataQualityError
-from demandloom.sources.storage import materialise
+from demandloom.sources.storage import Layout, materialise
 
 
 def fails(condition: Column) -> Column:
@@ -26,10 +26,13 @@ def known(*columns: str) -> dict[str, Column]:
     return {f"{c}_missing": fails(F.col(c).isNotNull()) for c in columns}
 
 
-def checked_stage(df: DataFrame, name: str, rules: Mapping[str, Column], drop: Sequence[str] = ()) -> DataFrame:
+def checked_stage(
+    df: DataFrame, name: str, rules: Mapping[str, Column], drop: Sequence[str] = (), layout: Layout | None = None
+) -> DataFrame:
     """The written stage, less the columns that only its rules need."""
     seen = Observation()
-    written = materialise(df.observe(seen, *[rule.alias(rule_name) for rule_name, rule in rules.items()]).drop(*drop), name)
+    observed = df.observe(seen, *[rule.alias(rule_name) for rule_name, rule in rules.items()])
+    written = materialise(observed.drop(*drop), name, layout)
     broken = {rule_name: count for rule_name, count in seen.get.items() if count}
     if broken:
         raise DataQualityError(f"{name}: {broken}")

@@ -22,6 +22,25 @@ def full_panel(sales: DataFrame, stores: DataFrame, calendar: DataFrame, prices:
     )
 
 
+# Blocks of one horizon, counted back from the last day: 0 is the holdout, OLDER all days that no
+# forecast rule, spread or recursion looks back to.
+OLDER = -(-(P.HORIZON + P.UNCERTAINTY_DAYS) // P.HORIZON)
+
+
+def time_block(last_day: Column) -> Column:
+    """The block of a day number: the folders of the dense stage."""
+    return F.least(F.floor((last_day - F.col("day_number")) / P.HORIZON), F.lit(OLDER)).cast("int")
+
+
+def newest(panel: DataFrame, days: int, first: int = 0) -> DataFrame:
+    """Blocks that hold the newest ``days`` days, from block ``first`` on; reads their folders only."""
+    return panel.filter(F.col("block").between(first, (days - 1) // P.HORIZON))
+
+
+def before_holdout(panel: DataFrame) -> DataFrame:
+    return panel.filter(F.col("block") > 0)
+
+
 def holdout_boundary(panel: DataFrame, days: int = P.HORIZON) -> DataFrame:
     """First and last date of the holdout: the last ``days`` distinct dates."""
     dates = panel.select("date").distinct().orderBy(F.desc("date")).limit(days)

@@ -24,17 +24,39 @@ def horizon_totals(forecasts: DataFrame) -> DataFrame:
 def demand_uncertainty(panel: DataFrame, start: Column) -> DataFrame:
     """Spread of 28-day demand totals over the last 365 training days.
 
-    Series are dense, so the last 365 days are a date range. The range is pushed to the scan, which
-    skips row groups by their dates at best: the stage is laid out by series.
+    The days are cut into blocks of one horizon, counted back from the holdout. A total that ends at a
+    place of a block is the block's running total up to the place, plus what the block before holds
+    after it; so one aggregate per (series, block) and a look at the block before give all totals.
+    A total counts only if all its days are there (``present`` has a bit for each day of a block).
     """
-    recent = panel.filter((F.col("date") < start) & (F.col("date") >= F.date_sub(start, P.UNCERTAINTY_DAYS)))
-    frame = Window.partitionBy(*P.SERIES).orderBy("date").rowsBetween(1 - P.HORIZON, 0)
-    totals = recent.select(
-        *P.SERIES,
-        F.sum("units_sold").over(frame).alias("total"),
-        F.count("units_sold").over(frame).alias("days"),
-    ).filter(F.col("days") == P.HORIZON)
-    return totals.groupBy(*P.SERIES).agg(
+    back = F.datediff(start, F.col("date")) - 1
+    place = P.HORIZON - 1 - F.col("back") % P.HORIZON  # 0 = first day of the block
+    whole = (1 << P.HORIZON) - 1
+    running = [F.coalesce(F.sum(F.when(place <= k, F.col("units_sold"))), F.lit(0)) for k in range(P.HORIZON)]
+    blocks = (
+        panel.withColumn("back", back).filter(F.col("back").between(0, P.UNCERTAINTY_DAYS - 1))
+        .filter(F.col("units_sold").isNotNull())
+        .groupBy(*P.SERIES, F.floor(F.col("back") / P.HORIZON).cast("int").alias("block"))
+        .agg(F.array(*running).alias("running"), F.bit_or(F.expr(f"shiftleft(1, {P.HORIZON - 1} - back % {P.HORIZON})")).alias("present"))
+    )
+    earlier = F.lead(F.struct("block", "running", "present")).over(Window.partitionBy(*P.SERIES).orderBy("block"))
+    pairs = blocks.withColumn("earlier", earlier).withColumn(
+        "before", F.when(F.col("earlier.block") == F.col("block") + 1, F.col("earlier"))
+    )
+    totals = []
+    for k in range(P.HORIZON):
+        mine = (1 << (k + 1)) - 1
+        theirs = whole - mine
+        rest = F.col("before.running")[P.HORIZON - 1] - F.col("before.running")[k]
+        here = F.col("present").bitwiseAND(F.lit(mine)) == mine
+        if theirs:
+            there = F.coalesce(F.col("before.present").bitwiseAND(F.lit(theirs)) == theirs, F.lit(False))
+            totals.append(F.when(here & there, F.col("running")[k] + rest))
+        else:
+            totals.append(F.when(here, F.col("running")[k]))
+    return pairs.select(*P.SERIES, F.explode(F.array(*totals)).alias("total")).filter(
+        F.col("total").isNotNull()
+    ).groupBy(*P.SERIES).agg(
         F.coalesce(F.stddev_samp("total"), F.lit(0.0)).alias("uncertainty_std_28"),
         F.count(F.lit(1)).alias("uncertainty_windows"),
     )

@@ -89,6 +89,7 @@ MODEL_DIMENSION = [
     ("adaptive_baseline", "Adaptive baseline", "Backtest-selected baseline", 3),
     ("hist_gradient_boosting", "Gradient-boosted trees", "Machine learning", 4),
 ]
+STAND_IN = ("linear", "Linear stand-in", "Fixed blend of lags", 5)  # member added where it is published
 POLICY_DIMENSION = [
     ("point_forecast_order", "Point-forecast order", 0, 1),
     ("newsvendor_adjusted_order", "Newsvendor-adjusted order", 1, 2),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,7 +12,7 @@ from demandloom.functions.outcomes import rounded
 from demandloom.operators import (
     accuracy, allocate, baselines, bi, boosting, encoding, features, panel, policy, quality, recursive, reports, star,
 )
-from demandloom.plans.workspace import Allocation, Workspace, open_workspace
+from demandloom.plans.workspace import Allocation, Publication, Workspace, open_workspace
 from demandloom.sources import retail
 from demandloom.sources.storage import stage_path
 from demandloom.sources.tables import (
@@ -82,14 +82,16 @@ def _(ws):
     return row_counts(load_star_schema(_star_tables(ws), stage_path(ws.spark, "star")))
 
 
-def bi_tables(ws: Workspace, allocations: Allocation, forecasts: DataFrame) -> dict[str, tuple[DataFrame, str]]:
+def bi_tables(
+    ws: Workspace, allocations: Allocation, forecasts: DataFrame, members: Sequence[tuple] = ()
+) -> dict[str, tuple[DataFrame, str]]:
     """The exported star schema with the grain of each table."""
     daily = bi.actual_daily(forecasts)
     return {
         "dim_store": (bi.store_dimension(ws.stores), "key: store_id"),
         "dim_item": (bi.item_dimension(ws.items), "key: item_id"),
         "dim_date": (bi.date_dimension(ws.calendar), "key: date"),
-        "dim_model": (bi.model_dimension(ws.spark), "key: model"),
+        "dim_model": (bi.model_dimension(ws.spark, members), "key: model"),
         "dim_inventory_policy": (bi.policy_dimension(ws.spark), "key: policy"),
         "dim_constraint_scenario": (bi.scenario_dimension(ws.spark), "key: scenario"),
         "dim_allocation_method": (bi.method_dimension(ws.spark), "key: method"),
@@ -652,32 +654,11 @@ def _(ws):
     return ws.boosted
 
 
-def _all_forecasts(ws: Workspace) -> DataFrame:
-    columns = baselines.FORECAST_COLUMNS
-    return ws.forecasts.unionByName(ws.boosted.select(*columns))
-
-
-@query("ml_metrics")
-def _(ws):
-    return accuracy.metrics_comparison(
-        accuracy.forecast_metrics(ws.forecasts, ["model"]),
-        accuracy.forecast_metrics(ws.boosted, ["model"]), ["model"],
-    )
-
-
-@query("ml_metrics_by_store")
-def _(ws):
-    return accuracy.metrics_comparison(
-        accuracy.forecast_metrics(ws.forecasts, ["model", "store_id"]),
-        accuracy.forecast_metrics(ws.boosted, ["model", "store_id"]), ["model", "store_id"],
-    )
-
-
 @query("model_summary")
 def _(ws):
     """metric, value: settings, dates and accuracy of the pooled model."""
     forest, losses = ws.fitted
-    metrics = accuracy.forecast_metrics(_all_forecasts(ws), ["model"])
+    metrics = accuracy.forecast_metrics(ws.pooled.forecasts, ["model"])
     def of(model: str, name: str):
         return F.max(F.when(F.col("model") == model, F.col(name)))
     row = metrics.agg(
@@ -738,11 +719,6 @@ def _(ws):
     return policy.policy_summary(ws.policies, ["store_id", "forecast_model", "inventory_policy"])
 
 
-@query("ml_policy_summary")
-def _(ws):
-    return policy.policy_summary(ws.boosted_policies, ["forecast_model", "inventory_policy"])
-
-
 # --- allocation ------------------------------------------------------------------------------------------------------------
 
 @query("target_plan")
@@ -791,11 +767,6 @@ _registered_allocation(
 _registered_allocation("stochastic_inputs", lambda a: allocate.reference_inputs(a.combined))
 
 
-@query("ml_stochastic_summary")
-def _(ws):
-    return allocate.combined_summary(ws.boosted_allocation.combined)
-
-
 # --- reporting star schema -----------------------------------------------------------------------------------------------------
 
 @query("bi_dim_store")
@@ -875,11 +846,6 @@ def _(ws):
     return _findings(ws, ws.forecasts, ws.allocation)
 
 
-@query("ml_key_findings")
-def _(ws):
-    return _findings(ws, _all_forecasts(ws), ws.boosted_allocation)
-
-
 @query("chart_model_mae")
 def _(ws):
     return bi.chart_model_metric(accuracy.forecast_metrics(ws.forecasts, ["model"]), "mae")
@@ -903,3 +869,48 @@ def _(ws):
 @query("chart_service_cost")
 def _(ws):
     return bi.chart_service_cost(allocate.combined_summary(ws.allocation.combined))
+
+
+# --- the same with a learned model beside the rules ------------------------------------------------------------------------------
+
+def _compared(keys: Sequence[str]) -> Callable[[Publication], DataFrame]:
+    return lambda p: accuracy.metrics_comparison(
+        accuracy.forecast_metrics(p.workspace.forecasts, keys), accuracy.forecast_metrics(p.learned, keys), keys,
+    )
+
+
+def _published(p: Publication) -> dict[str, tuple[DataFrame, str]]:
+    return bi_tables(p.workspace, p.allocation, p.forecasts, p.members)
+
+
+def _allocated(p: Publication) -> DataFrame:
+    return bi.allocation_fact(p.allocation.combined, p.model)
+
+
+PUBLISHED: dict[str, Callable[[Publication], DataFrame]] = {
+    "metrics": _compared(["model"]),
+    "metrics_by_store": _compared(["model", "store_id"]),
+    "policy_summary": lambda p: policy.policy_summary(p.policies, ["forecast_model", "inventory_policy"]),
+    "stochastic_summary": lambda p: allocate.combined_summary(p.allocation.combined),
+    "key_findings": lambda p: _findings(p.workspace, p.forecasts, p.allocation),
+    "bi_dim_model": lambda p: bi.dimension_usage(
+        bi.model_dimension(p.workspace.spark, p.members), bi.forecast_daily(p.forecasts), "model_id"),
+    "bi_dim_policy": lambda p: bi.dimension_usage(
+        bi.policy_dimension(p.workspace.spark), bi.inventory_policy_fact(p.policies), "policy_id"),
+    "bi_dim_method": lambda p: bi.dimension_usage(
+        bi.method_dimension(p.workspace.spark), _allocated(p), "allocation_method_id"),
+    "bi_fact_forecast_daily": lambda p: rounded(bi.forecast_daily(p.forecasts), 6),
+    "bi_fact_inventory_policy": lambda p: rounded(bi.inventory_policy_fact(p.policies), 4),
+    "bi_fact_allocation": lambda p: rounded(_allocated(p), 4),
+    "export_manifest": lambda p: export_manifest(_published(p)),
+    "dq_published_facts": lambda p: fact_problems({name: table for name, (table, _) in _published(p).items()}),
+}
+
+
+def _registered_publication(prefix: str, pick: Callable[[Workspace], Publication]) -> None:
+    for name, result in PUBLISHED.items():
+        query(f"{prefix}_{name}")(lambda ws, result=result: result(pick(ws)))
+
+
+_registered_publication("ml", lambda ws: ws.pooled)
+_registered_publication("linear", lambda ws: ws.stand_in)

@@ -9,6 +9,8 @@ read by a single stage, whose result has at most one row per series and day.
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -19,9 +21,12 @@ from demandloom.operators.gates import checked_stage
 from demandloom.params import BoostingParams
 from demandloom.sources import retail
 from demandloom.sources.retail import Grain
-from demandloom.sources.storage import freeze, materialise
+from demandloom.sources.storage import Layout, freeze, materialise
 from demandloom.sources.tables import scan_table
 
+# Rows of the dense stage in a bucket: at most the second number; a small stage is cut to fill the cores.
+BUCKET_ROWS = (50_000, 4_000_000)
+
 
 class Workspace:
     """Lazily built stages for one source folder and grain."""
@@ -58,15 +63,30 @@ class Workspace:
 
     @cached_property
     def prices(self) -> DataFrame:
-        return checked_stage(retail.weekly_prices(self.daily), "prices", gates.price_rules())
+        layout = replace(self.by_series, order=(*P.SERIES, "wm_yr_wk"))
+        return checked_stage(retail.weekly_prices(layout.deal(self.daily)), "prices", gates.price_rules(), layout=layout)
+
+    @cached_property
+    def by_series(self) -> Layout:
+        """Buckets by series, as many as the dense rows need; a series has at most a row per day of the calendar."""
+        series, days = self.daily.select(*P.SERIES).distinct().count(), self.calendar.count()
+        few, many = BUCKET_ROWS
+        cores = self.spark.sparkContext.defaultParallelism
+        return Layout(P.SERIES, max(1, min(cores, series * days // few), -(-series * days // many)))
 
     @cached_property
     def dense(self) -> DataFrame:
-        """Series, date, day_number, day_id, units_sold: one row per series and day."""
-        rows = retail.dense_days(self.daily, self.calendar)
-        return checked_stage(
-            rows.withColumn("day_id", F.concat(F.lit("d_"), F.col("day_number").cast("string"))), "dense", gates.dense_rules()
-        )
+        """Series, date, day_number, units_sold, day_id, block: one row per series and day.
+
+        Bucketed by series, as prices are, in folders by block: windows, aggregates and the price join
+        need no exchange, and what looks at recent days reads their folders only.
+        """
+        layout = replace(self.by_series, order=(*P.SERIES, "date"), partition="block")
+        rows = retail.dense_days(layout.deal(self.daily), self.calendar)
+        return checked_stage(rows.select(
+            "*", F.concat(F.lit("d_"), F.col("day_number").cast("string")).alias("day_id"),
+            panel.time_block(self.last_day).alias("block"),
+        ), "dense", gates.dense_rules(), layout=layout)
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -74,7 +94,8 @@ class Workspace:
 
     @cached_property
     def panel(self) -> DataFrame:
-        return panel.full_panel(self.sales, self.stores, self.calendar, self.prices)
+        sales = self.dense.select("item_id", "store_id", "day_id", "units_sold", "block")
+        return panel.full_panel(sales, self.stores, self.calendar, self.prices)
 
     # --- time boundaries (the calendar has every date once) ------------------------
     @property
@@ -86,9 +107,14 @@ class Workspace:
         return self.calendar.agg(F.count(F.lit(1)).cast("int")).scalar()
 
     # --- baselines --------------------------------------------------------------------
+    @property
+    def near(self) -> DataFrame:
+        """The holdout, the backtest windows and the block before them."""
+        return panel.newest(self.dense, P.HORIZON * (P.BACKTEST_WINDOWS + 2))
+
     @cached_property
     def candidates(self) -> DataFrame:
-        return materialise(baselines.candidate_forecasts(self.dense, self.last_day), "candidates")
+        return materialise(baselines.candidate_forecasts(self.near, self.last_day), "candidates")
 
     @cached_property
     def scores(self) -> DataFrame:
@@ -115,7 +141,7 @@ class Workspace:
     # --- error analysis ------------------------------------------------------------------
     @cached_property
     def characteristics(self) -> DataFrame:
-        return accuracy.demand_characteristics(panel.training_slice(self.dense, self.start))
+        return accuracy.demand_characteristics(panel.training_slice(panel.before_holdout(self.dense), self.start))
 
     @cached_property
     def series_metrics(self) -> DataFrame:
@@ -124,7 +150,8 @@ class Workspace:
     # --- features and the pooled model ------------------------------------------------------
     @cached_property
     def features(self) -> DataFrame:
-        return features.feature_table(self.panel)
+        """Features of the days before the holdout."""
+        return features.feature_table(panel.before_holdout(self.panel))
 
     @cached_property
     def training(self) -> DataFrame:
@@ -140,7 +167,7 @@ class Workspace:
 
     @cached_property
     def state(self) -> DataFrame:
-        return recursive.forecast_state(self.panel, self.start)
+        return recursive.forecast_state(panel.newest(self.panel, P.HORIZON + recursive.HISTORY), self.start)
 
     @cached_property
     def boosted(self) -> DataFrame:
@@ -162,7 +189,8 @@ class Workspace:
     # --- policies and allocation ---------------------------------------------------------------
     @cached_property
     def uncertainty(self) -> DataFrame:
-        return policy.demand_uncertainty(self.dense, self.start)
+        recent = panel.newest(self.dense, P.HORIZON + P.UNCERTAINTY_DAYS, first=1)
+        return policy.demand_uncertainty(recent, self.start)
 
     @cached_property
     def policies(self) -> DataFrame:
@@ -171,23 +199,56 @@ class Workspace:
             policy.inventory_policies(policy.horizon_totals(models), self.uncertainty), "policies", gates.policy_rules()
         )
 
-    @cached_property
-    def boosted_policies(self) -> DataFrame:
-        columns = baselines.FORECAST_COLUMNS
-        models = self.boosted.select(*columns).unionByName(self.adaptive.select(*columns))
-        return checked_stage(
-            policy.inventory_policies(policy.horizon_totals(models), self.uncertainty), "policies", gates.policy_rules()
-        )
-
     @cached_property
     def allocation(self) -> Allocation:
         """Allocation of the weekly seasonal forecast's orders."""
         return Allocation(self, self.policies, "weekly_seasonal_naive")
 
+    # --- what is published with a learned model ------------------------------------------------
     @cached_property
-    def boosted_allocation(self) -> Allocation:
-        """Allocation of the pooled model's orders."""
-        return Allocation(self, self.boosted_policies, P.BOOSTING)
+    def linear(self) -> DataFrame:
+        """The recursion with the linear stand-in, which SQL can reproduce."""
+        rows = recursive.recursive_forecast(self.state, recursive.linear_score, P.STAND_IN[0])
+        return checked_stage(rows, "linear", gates.forecast_rules())
+
+    @cached_property
+    def pooled(self) -> Publication:
+        return Publication(self, "boosted", P.BOOSTING)
+
+    @cached_property
+    def stand_in(self) -> Publication:
+        return Publication(self, "linear", P.STAND_IN[0], [P.STAND_IN])
+
+
+class Publication:
+    """Forecasts, policies and allocation with a learned model beside the rules.
+
+    ``rows`` is the workspace's stage of the model's forecasts, which is built when it is first read.
+    """
+
+    def __init__(self, workspace: Workspace, rows: str, model: str, members: Sequence[tuple] = ()):
+        self.workspace, self.rows, self.model, self.members = workspace, rows, model, members
+
+    @property
+    def learned(self) -> DataFrame:
+        return getattr(self.workspace, self.rows).select(*baselines.FORECAST_COLUMNS)
+
+    @property
+    def forecasts(self) -> DataFrame:
+        return self.workspace.forecasts.unionByName(self.learned)
+
+    @cached_property
+    def policies(self) -> DataFrame:
+        own = self.workspace
+        models = self.learned.unionByName(own.adaptive.select(*baselines.FORECAST_COLUMNS))
+        return checked_stage(
+            policy.inventory_policies(policy.horizon_totals(models), own.uncertainty), "policies", gates.policy_rules()
+        )
+
+    @cached_property
+    def allocation(self) -> Allocation:
+        """Allocation of the learned model's orders."""
+        return Allocation(self.workspace, self.policies, self.model)
 
 
 class Allocation:

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,12 +47,55 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{base}/demandloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:8]}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write a stage result to the shared folder and continue from the written table."""
+@dataclass(frozen=True)
+class Layout:
+    """Buckets of a written stage by hash of ``keys``, within folders by ``partition`` if it is named.
+
+    Tables with the same keys and number of buckets are joined, grouped and windowed by them without an
+    exchange, and a filter on ``partition`` reads its folders only. Deal the rows by ``deal`` before, so
+    that a task writes one bucket and not a file for each.
+    """
+
+    keys: Sequence[str]
+    buckets: int
+    order: Sequence[str] = ()
+    partition: str | None = None
+
+    def deal(self, df: DataFrame) -> DataFrame:
+        return df.repartition(self.buckets, *self.keys)
+
+
+def materialise(df: DataFrame, name: str, layout: Layout | None = None) -> DataFrame:
+    """Write a stage result to the shared folder and continue from the written table.
+
+    With a layout it becomes a table of the session's catalog, whose files are in the shared folder
+    all the same; ``drop_tables`` takes it out of the catalog.
+    """
     spark = df.sparkSession
     path = stage_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if layout is None:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    table = f"{_table_prefix(spark)}{name}_{uuid.uuid4().hex[:8]}"
+    writer = df.write.format("parquet").option("path", path).bucketBy(layout.buckets, *layout.keys)
+    if layout.order:
+        writer = writer.sortBy(*layout.order)
+    if layout.partition:
+        writer = writer.partitionBy(layout.partition)
+    writer.saveAsTable(table)
+    return spark.table(table)
+
+
+def _table_prefix(spark: SparkSession) -> str:
+    application = "".join(c if c.isalnum() else "_" for c in spark.sparkContext.applicationId)
+    return f"demandloom_{application}_".lower()
+
+
+def drop_tables(spark: SparkSession, only: Sequence[str] | None = None) -> None:
+    """Take stage tables of this application, all or some, out of the catalog; their files stay."""
+    for table in spark.catalog.listTables(pattern=f"{_table_prefix(spark)}*"):
+        if only is None or table.name in only:
+            spark.sql(f"DROP TABLE IF EXISTS {table.name}")
 
 
 def freeze(df: DataFrame) -> DataFrame:
