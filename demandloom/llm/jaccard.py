@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from demandloom.llm.components import components
+from demandloom.llm.components import components, part_of, spread_join
 from demandloom.llm.tables import one_row_each
 from demandloom.llm.words import Words, groups, mix, multipliers, signed, text_chunks, window_names
 from demandloom.sources.storage import freeze, materialise
@@ -258,8 +258,9 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     chosen = banded.join(buckets, "bucket").join(signed_.select("doc_id", "values"), "doc_id")
     candidates = components(materialise(dealt(chosen, "bucket", BUCKET_BLOCK).mapInArrow(pruned, "a long, b long"), "jaccard-candidates"))
     sizes = candidates.groupBy("label").agg(F.count(F.lit(1)).alias("total"))
+    sized = spread_join(candidates.select("node", "label", part_of("node")), "label", sizes).drop("part")
     grouped = materialise(
-        candidates.join(sizes, "label").withColumnRenamed("node", "doc_id").join(kinds.select("doc_id", "copies"), "doc_id"), "jaccard-groups"
+        sized.withColumnRenamed("node", "doc_id").join(kinds.select("doc_id", "copies"), "doc_id"), "jaccard-groups"
     )
     checked = materialise(
         dealt(texts.join(grouped, "doc_id"), "label", TEXT_BLOCK).mapInArrow(verified, "doc_id long, links long, root long"),
