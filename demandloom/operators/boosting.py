@@ -2,15 +2,15 @@
 
 Features are cut once into at most ``max_bins`` bins at approximate quantiles and kept as bytes, column by column, in blocks of rows.
 A tree grows best-first up to ``max_leaves`` and ``max_depth``: per pass every block adds its rows' gradients to the bins of the
-leaves that may be split next, and the summed histograms give their best splits. Of two new leaves the smaller is counted,
-the other is its parent's rest. A pass counts all leaves that can still be among the next splits, so a tree
+leaves that may be split next. The histograms are dealt by feature, summed and searched for the best split of every leaf where
+they lie. A pass counts all leaves that can still be among the next splits, so a tree
 takes about as many passes as it is deep, with the same splits as if they were counted one by one.
 
 Gradients are counted in whole parts of ``1 / PARTS``, so histograms are exact in any order, and a
 tree does not depend on how rows are partitioned.
 
-The driver gets bin edges, histograms of at most ``max_leaves`` leaves (2 MB or so each) and trees: nothing that grows with
-rows or levels. Scores are kept with the blocks and written as a table every ``checkpoint_every`` rounds, which
+The driver gets bin edges, trees, and per pass the best split that each of at most ``MERGERS`` tasks found for a leaf: no
+histograms, and nothing that grows with rows, levels or the number of blocks. Scores are kept with the blocks and written as a table every ``checkpoint_every`` rounds, which
 bounds what a lost executor costs.
 """
 
@@ -18,8 +18,8 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,7 @@ from demandloom.sources.storage import materialise
 INPUTS = [f"{c}_code" for c in CATEGORIES] + P.FEATURES
 PARTS = float(1 << 16)
 TASKS = 64  # results of so many tasks are merged at a time
+MERGERS = 8  # tasks that the features of a pass are dealt over
 
 Tree = dict[str, np.ndarray]  # feature (-1: leaf), cut (bin), threshold, left, right, value
 
@@ -112,26 +113,35 @@ def with_scores(blocks: DataFrame, tree: Tree, rate: float) -> DataFrame:
 
 # --- histograms ---------------------------------------------------------------------------------------
 
-COUNTED = "cells binary, loss double, rows long"
+COUNTED = "feature int, cells binary, loss double, rows long"
+FOUND = "node int, gain double, feature int, cut int, below array<bigint>, total array<bigint>, loss double, rows long"
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cells, loss, rows = None, 0.0, 0
+def _summed(batches: Iterator[pa.RecordBatch]) -> dict[int, tuple[np.ndarray, float, int]]:
+    """(cells, loss, rows) of each feature."""
+    sums: dict[int, tuple[np.ndarray, float, int]] = {}
     for batch in batches:
-        for row in range(batch.num_rows):
+        for row, feature in enumerate(batch.column("feature").to_pylist()):
             own = np.frombuffer(batch.column("cells")[row].as_buffer(), np.int64)
-            cells = own.copy() if cells is None else cells + own
-            loss, rows = loss + batch.column("loss")[row].as_py(), rows + batch.column("rows")[row].as_py()
-    if cells is not None:
-        yield pa.RecordBatch.from_pydict({"cells": [cells.tobytes()], "loss": [loss], "rows": [rows]})
+            cells, loss, rows = sums.get(feature, (0, 0.0, 0))
+            sums[feature] = cells + own, loss + batch.column("loss")[row].as_py(), rows + batch.column("rows")[row].as_py()
+    return sums
 
 
-def histograms(blocks: DataFrame, tasks: int, tree: Tree, nodes: list[int], bins: int) -> tuple[np.ndarray, float, int]:
-    """([node, feature, bin, (gradient, hessian, rows)], loss, rows) over all blocks, in parts."""
-    shape = (len(nodes), len(INPUTS), bins, 3)
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for feature, (cells, loss, rows) in _summed(batches).items():
+        yield pa.RecordBatch.from_pydict({"feature": pa.array([feature], pa.int32()), "cells": [cells.tobytes()], "loss": [loss], "rows": [rows]})
+
+
+def histograms(blocks: DataFrame, tasks: int, tree: Tree, nodes: list[int], bins: int | Sequence[int]) -> DataFrame:
+    """``COUNTED`` rows: histograms [node, bin, (gradient, hessian, rows)] in parts, of all features, those of one in one partition.
+
+    bins: of each feature, or of all. Loss and rows over all nodes are with the first feature.
+    """
+    bins = np.broadcast_to(bins, len(INPUTS)).tolist()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, loss, rows = np.zeros(shape, np.int64), 0.0, 0
+        cells, loss, rows = [np.zeros((len(nodes), own, 3), np.int64) for own in bins], 0.0, 0
         slot = np.full(len(tree["feature"]), -1)
         slot[nodes] = np.arange(len(nodes))
         for codes, demand, score in _blocks(batches):
@@ -139,41 +149,41 @@ def histograms(blocks: DataFrame, tasks: int, tree: Tree, nodes: list[int], bins
             loss, rows = loss + float((expected - demand * score).sum()), rows + len(demand)
             own = slot[leaves(tree, codes, "cut")]
             wanted = np.flatnonzero(own >= 0)
-            base, codes = own[wanted] * bins, codes[:, wanted]
+            own, codes = own[wanted], codes[:, wanted]
             gradient, hessian = np.rint((expected - demand)[wanted] * PARTS), np.rint(expected[wanted] * PARTS)
-            for feature in range(len(INPUTS)):
-                at = base + codes[feature]
+            for feature, width in enumerate(bins):
+                at = own * width + codes[feature]
                 for k, weights in enumerate((gradient, hessian, None)):  # sums of whole numbers below 2^53 are exact
-                    cells[:, feature, :, k] += np.bincount(at, weights, len(nodes) * bins).astype(np.int64).reshape(len(nodes), bins)
+                    cells[feature][:, :, k] += np.bincount(at, weights, len(nodes) * width).astype(np.int64).reshape(len(nodes), width)
         if rows:
-            yield pa.RecordBatch.from_pydict({"cells": [cells.tobytes()], "loss": [loss], "rows": [rows]})
+            none = [0] * (len(bins) - 1)
+            yield pa.RecordBatch.from_pydict({
+                "feature": pa.array(range(len(bins)), pa.int32()), "cells": [c.tobytes() for c in cells],
+                "loss": pa.array([loss, *none], pa.float64()), "rows": [rows, *none],
+            })
 
     parts = blocks.mapInArrow(count, COUNTED)
     while tasks > TASKS:
         tasks = max(1, math.isqrt(tasks))
         parts = parts.repartition(tasks).mapInArrow(_merged, COUNTED)
-    found = parts.toArrow()  # one row per task, of at most TASKS
-    cells = np.zeros(math.prod(shape), np.int64)
-    for own in found.column("cells"):
-        cells += np.frombuffer(own.as_buffer(), np.int64)
-    return cells.reshape(shape), sum(found.column("loss").to_pylist()), sum(found.column("rows").to_pylist())
+    return parts.repartition(min(MERGERS, tasks), "feature")
 
 
 @dataclass
 class Node:
-    """A leaf or inner node while a tree grows: its sums, its histogram if it may be split, and its best split."""
+    """A leaf or inner node while a tree grows: its sums, its best split if it may be split, and the sums below that."""
 
     total: np.ndarray
-    cells: np.ndarray | None = None
     gain: float = 0.0
     feature: int = -1
     cut: int = -1
+    below: np.ndarray | None = None
     children: tuple[int, int] | None = None
     depth: int = 0
 
     def seek(self, cells: np.ndarray, least_rows: int, l2: float) -> None:
-        self.cells = cells
-        below = cells.cumsum(axis=1)[:, :-1]
+        sums = cells.cumsum(axis=1)
+        below = sums[:, :-1]
         above = self.total - below
         value = lambda c: (c[..., 0] / PARTS) ** 2 / (c[..., 1] / PARTS + l2)
         gain = value(below) + value(above) - value(self.total)
@@ -182,16 +192,61 @@ class Node:
         if gain.size and gain.flat[best] > 1e-12:
             self.gain = float(gain.flat[best])
             self.feature, self.cut = divmod(best, gain.shape[1])
+            self.below = below[self.feature, self.cut]
 
     def split(self) -> tuple["Node", "Node"]:
-        below = self.cells[self.feature, : self.cut + 1].sum(axis=0)
-        return Node(below, depth=self.depth + 1), Node(self.total - below, depth=self.depth + 1)
+        return Node(self.below, depth=self.depth + 1), Node(self.total - self.below, depth=self.depth + 1)
 
     def leaf_value(self, l2: float) -> float:
         gradient, hessian, _ = self.total / PARTS
         return -gradient / (hessian + l2)
 
 
+def best_splits(counted: DataFrame | tuple[np.ndarray, float, int], nodes: int, settings: BoostingParams) -> tuple[list[Node], float, int]:
+    """(every counted node with its best split, loss, rows), from ``histograms`` or from cells in memory.
+
+    Of equal gains the first feature and the lowest cut count.
+    """
+    least_rows, l2 = settings.min_leaf_rows, settings.l2
+    if not isinstance(counted, DataFrame):
+        cells, loss, rows = counted
+        found = [Node(own[0].sum(axis=0)) for own in cells]
+        for node, own in zip(found, cells):
+            node.seek(own, least_rows, l2)
+        return found, loss, rows
+
+    def seek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[Node] = []
+        sums = _summed(batches)
+        for feature in sorted(sums):
+            cells = sums[feature][0].reshape(nodes, -1, 3)
+            own = [Node(c.sum(axis=0)) for c in cells]
+            for node, c in zip(own, cells):
+                node.seek(c[None], least_rows, l2)
+                node.feature = feature if node.below is not None else -1
+            best = [b if b.gain >= o.gain else o for b, o in zip(best, own)] if best else own
+        if best:
+            none = [0] * (nodes - 1)
+            lists = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_pydict({
+                "node": pa.array(range(nodes), pa.int32()), "gain": [b.gain for b in best],
+                "feature": pa.array([b.feature for b in best], pa.int32()), "cut": pa.array([b.cut for b in best], pa.int32()),
+                "below": pa.array([None if b.below is None else b.below.tolist() for b in best], lists),
+                "total": pa.array([b.total.tolist() for b in best], lists),
+                "loss": pa.array([sum(s[1] for s in sums.values()), *none], pa.float64()), "rows": [sum(s[2] for s in sums.values()), *none],
+            })
+
+    rows = counted.mapInArrow(seek, FOUND).collect()  # at most MERGERS for a node
+    best = {}
+    for row in sorted(rows, key=lambda r: (-r["gain"], r["feature"])):
+        best.setdefault(row["node"], row)
+    found = [
+        Node(np.array(r["total"]), r["gain"], r["feature"], r["cut"], None if r["below"] is None else np.array(r["below"]))
+        for r in (best[k] for k in range(nodes))
+    ]
+    return found, sum(r["loss"] for r in rows), sum(r["rows"] for r in rows)
+
+
 STUMP = Node(np.zeros(3))
 
 
@@ -223,28 +278,26 @@ def best_first(nodes: list[Node], most: int) -> tuple[list[int], list[int]]:
 
 
 def grow(count, edges: list[np.ndarray], settings: BoostingParams) -> tuple[Tree, float]:
-    """(one tree, loss before it). count(tree, nodes) gives the histograms of nodes of a tree."""
-    root, loss, rows = count(_flat([STUMP], set(), edges, 1.0), [0])
-    nodes = [Node(root[0][0].sum(axis=0))]
-    nodes[0].seek(root[0], settings.min_leaf_rows, settings.l2)
+    """(one tree, loss before it). count(tree, nodes) gives the histograms of nodes of a tree, as ``best_splits`` takes them."""
+    nodes, loss, rows = best_splits(count(_flat([STUMP], set(), edges, 1.0), [0]), 1, settings)
     while True:
         inner, wanted = best_first(nodes, settings.max_leaves)
         if not wanted:
             break
-        small = {}
+        open_ = []
         for parent in wanted:
             nodes[parent].children = (len(nodes), len(nodes) + 1)
-            left, right = nodes[parent].split()
-            if left.depth < settings.max_depth:  # the deepest are leaves, which need no histogram
-                small[len(nodes) + int(left.total[2] > right.total[2])] = parent
-            nodes += [left, right]
-        if not small:
+            for child in nodes[parent].split():
+                # The deepest, and those with too few rows for two leaves, are leaves, which need no histogram.
+                if child.depth < settings.max_depth and child.total[2] >= 2 * settings.min_leaf_rows:
+                    open_.append(len(nodes))
+                nodes.append(child)
+        if not open_:
             continue
         expanded = {k for k, n in enumerate(nodes) if n.children}
-        cells, _, _ = count(_flat(nodes, expanded, edges, settings.l2), list(small))
-        for (child, parent), own in zip(small.items(), cells):
-            nodes[child].seek(own, settings.min_leaf_rows, settings.l2)
-            nodes[sum(nodes[parent].children) - child].seek(nodes[parent].cells - own, settings.min_leaf_rows, settings.l2)
+        found, _, _ = best_splits(count(_flat(nodes, expanded, edges, settings.l2), open_), len(open_), settings)
+        for child, own in zip(open_, found):
+            nodes[child] = replace(own, depth=nodes[child].depth)
     # Counted in advance but not reached: their parents stay leaves.
     kept, order = {0: 0}, [0]
     for node in order:
@@ -252,7 +305,7 @@ def grow(count, edges: list[np.ndarray], settings: BoostingParams) -> tuple[Tree
             for child in nodes[node].children:
                 kept[child] = len(order)
                 order.append(child)
-    own = [Node(nodes[k].total, None, nodes[k].gain, nodes[k].feature, nodes[k].cut, tuple(kept[c] for c in nodes[k].children) if k in inner else None) for k in order]
+    own = [replace(nodes[k], children=tuple(kept[c] for c in nodes[k].children) if k in inner else None) for k in order]
     return _flat(own, {kept[k] for k in inner}, edges, settings.l2), loss / max(rows, 1)
 
 
@@ -266,13 +319,14 @@ def fit_pooled_model(training: DataFrame, settings: BoostingParams = BoostingPar
     if not mean:
         raise ValueError("training demand is zero")
     start, edges = math.log(mean), bin_edges(rows, settings.max_bins)
-    bins = max(len(e) for e in edges) + 1
+    bins = [len(e) + 1 for e in edges]
     blocks = materialise(binned_blocks(rows, edges, start), "boosting-blocks").persist()
-    tasks = blocks.rdd.getNumPartitions()
+    # A task per core sums all its blocks, so what is shuffled follows the cores and not the blocks.
+    tasks = min(blocks.rdd.getNumPartitions(), blocks.sparkSession.sparkContext.defaultParallelism)
     trees: list[Tree] = []
     losses, previous = [], None
     for number in range(1, settings.rounds + 1):
-        tree, loss = grow(lambda grown, nodes: histograms(blocks, tasks, grown, nodes, bins), edges, settings)  # noqa: B023
+        tree, loss = grow(lambda grown, nodes: histograms(blocks.coalesce(tasks), tasks, grown, nodes, bins), edges, settings)  # noqa: B023
         losses.append(loss)
         trees.append(tree)
         if previous is not None:
@@ -280,7 +334,7 @@ def fit_pooled_model(training: DataFrame, settings: BoostingParams = BoostingPar
         # The first pass of the next round computes and keeps the new scores.
         scored = with_scores(blocks, tree, settings.learning_rate)
         previous, blocks = blocks, (materialise(scored, "boosting-blocks") if number % settings.checkpoint_every == 0 else scored).persist()
-    _, loss, count = histograms(blocks, tasks, _flat([STUMP], set(), edges, 1.0), [0], bins)
+    _, loss, count = best_splits(histograms(blocks.coalesce(tasks), tasks, _flat([STUMP], set(), edges, 1.0), [0], bins), 1, settings)
     for df in (previous, blocks):
         if df is not None:
             df.unpersist()

@@ -1,6 +1,7 @@
 """Pooled model and recursion."""
 
 import datetime
+import pickle
 
 import numpy as np
 import pytest
@@ -73,6 +74,45 @@ def test_trees_do_not_depend_on_partitions(ws):
     assert all(np.array_equal(one[k], many[k]) for k in one)
 
 
+def test_no_histograms_reach_the_driver(ws, monkeypatch):
+    """Growing a tree brings the same little to the driver from 2 and from 30 tasks: best splits."""
+    seen, kind = [], type(ws.training)
+    for name in ("collect", "toArrow"):
+        def spy(self, real=getattr(kind, name)):
+            seen.append(len(pickle.dumps(result := real(self))))
+            return result
+        monkeypatch.setattr(kind, name, spy)
+    settings, edges = BoostingParams(rounds=1), [np.linspace(0, 20, 254)] * len(boosting.INPUTS)
+    coded = encoding.encode_training(ws.training).select(*boosting.INPUTS, F.col("units_sold").cast("double").alias("demand"))
+    for partitions in (2, 30):
+        blocks = boosting.binned_blocks(coded.repartition(partitions), edges, 0.1).persist()
+        boosting.grow(lambda grown, nodes: boosting.histograms(blocks, partitions, grown, nodes, 255), edges, settings)  # noqa: B023
+        blocks.unpersist()
+        assert sum(seen) < 200_000
+        seen.clear()
+
+
+def test_distributed_splits_are_those_of_cells_in_memory(spark):
+    """Gains, features, cuts and sums by feature in tasks equal a search over all cells at once; constant features give none."""
+    rng = np.random.default_rng(5)
+    cells = rng.integers(-10**9, 10**9, (3, len(boosting.INPUTS), 9, 3))
+    cells[..., 1:] = np.abs(cells[..., 1:])
+    cells[:, :, :, 2] = 50
+    cells[:, :, 8] = cells[:, :1].sum(axis=2) - cells[:, :, :8].sum(axis=2)  # every feature has the node's sums
+    cells[:, 7] = cells[:, 4]  # of equal gains the first feature counts
+    cells[1] = 0
+    cells[1, :, 0] = 900
+    rows = [(f, cells[:, f].tobytes(), 2.5 if f == 0 else 0.0, 7 if f == 0 else 0) for f in range(len(boosting.INPUTS))]
+    counted = spark.createDataFrame(rows, boosting.COUNTED).repartition(5, "feature")
+    settings = BoostingParams(min_leaf_rows=40)
+    found, loss, count = boosting.best_splits(counted, 3, settings)
+    expected, _, _ = boosting.best_splits((cells, 2.5, 7), 3, settings)
+    assert (loss, count) == (2.5, 7) and found[1].feature == -1 and found[0].feature >= 0
+    for a, b in zip(found, expected):
+        assert (a.gain, a.feature, a.cut, a.total.tolist()) == (b.gain, b.feature, b.cut, b.total.tolist())
+        assert (a.below is None) == (b.below is None) and (a.below is None or a.below.tolist() == b.below.tolist())
+
+
 def test_best_first_equals_one_leaf_at_a_time():
     """Splits counted ahead are those of a plain search that always splits the best leaf next."""
     rng = np.random.default_rng(3)
