@@ -46,6 +46,8 @@ NEEDS = {"email": r"@", "ip": r"\.", "card": r"[0-9]", "phone": r"\+"}
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 IDENTIFIER = r"(?<![A-Za-z0-9@._+-])(?=[A-Za-z0-9@._+-]{5})[A-Za-z@._+-]*+[0-9][A-Za-z0-9@._+-]*+"
 MIN_IDENTIFIER = 5
+#: Every match of a format and every identifier holds one of these.
+ANY = "[0-9@]"
 
 ROUNDS = 3
 MIN_SEEDS = 5
@@ -180,7 +182,10 @@ def pii_digest(docs: DataFrame) -> DataFrame:
 
 
 def mask_personal(docs: DataFrame) -> DataFrame:
-    """The documents with every span replaced by its kind in angle brackets; same columns and rows."""
+    """The documents with every span replaced by its kind in angle brackets; same columns and rows.
+
+    Only texts that hold a digit or an at sign meet their spans; no other can have one. Each goes once.
+    """
     by_start = F.sort_array(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     marks = materialise(
         personal_spans(docs).filter("spans is not null").groupBy(F.col("doc_id").alias("_pii_doc"), F.col("text_hash").alias("_pii_hash"))
@@ -201,11 +206,13 @@ def mask_personal(docs: DataFrame) -> DataFrame:
     ))
     touched = F.col("_pii_spans").isNotNull() & text.isNotNull()
     same = F.col("doc_id").eqNullSafe(F.col("_pii_doc")) & (F.xxhash64("text") == F.col("_pii_hash"))
+    possible = F.coalesce(text.rlike(ANY), F.lit(False))
     # The row goes along as a struct, so its other columns may have any names.
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_pii_row"), "doc_id", "text")
+    own = docs.filter(possible).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("_pii_row"), "doc_id", "text")
     joined = own.join(marks, same, "left").withColumn("_pii_text", F.when(touched, masked).otherwise(text))
     now = {"text": F.col("_pii_text")}
     if "n_chars" in docs.columns:
         before = F.col("_pii_row").getField("n_chars")
         now["n_chars"] = F.when(touched, F.length("_pii_text")).otherwise(before).cast(docs.schema["n_chars"].dataType)
-    return joined.select(*[now.get(c, F.col("_pii_row").getField(c)).alias(c) for c in docs.columns])
+    changed = joined.select(*[now[c].alias(c) if c in now else F.col("_pii_row").getField(c).alias(c) for c in docs.columns])
+    return changed.union(docs.filter(~possible))

@@ -267,6 +267,22 @@ def test_masks_of_odd_rows(odd):
     assert pii_digest(odd).count() == odd.count() and pii_digest(odd.limit(0)).count() == 0
 
 
+def test_only_texts_that_may_hold_a_span_meet_their_spans(spark, capsys):
+    """Texts without digits and at signs pass by the join, and no text goes to it twice."""
+    rows = [(1, "mail z@b.cd now", "x", 15), (2, "none here", "y", 9), (3, None, "z", None), (3, None, "z", None), (4, "call 4111 1111 1111 1111 now", "x", 28), (2, "none here", "y", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string, n_chars int")
+    masked = mask_personal(docs)
+    expected = [(1, "mail <EMAIL> now", "x", 16), rows[1], rows[2], rows[3], (4, "call <CARD> now", "x", 15), rows[5]]
+    assert masked.schema.names == docs.schema.names
+    assert sorted(map(str, map(tuple, masked.collect()))) == sorted(map(str, expected))
+    capsys.readouterr()
+    masked.explain(True)
+    optimised = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert "Union" in optimised
+    packed = [line.split(" AS _pii_row")[0] for line in optimised.splitlines() if " AS _pii_row" in line]
+    assert packed and all("struct(" in p and "text, text" not in p for p in packed)
+
+
 # --- tokens and packing ------------------------------------------------------------------------
 
 ODD_TEXTS = [" ", "  ", "\n", " \n", "a", "the", "'s", "é", "😀", "<|endoftext|>", "1", "٣", " ", "　", "!", "\t", "don't", "世界", "́", "THE", "Σ", "\x1c", "''"]
