@@ -1,12 +1,14 @@
 """Search, URLs, secrets, sampled pieces and the pipeline."""
 
 import math
+import random
 import re
 from collections import Counter
 from itertools import chain
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -230,6 +232,50 @@ def test_pieces_of_odd_rows(odd):
     assert got.select("doc_id").distinct().count() == 7 and pieces.sample_pieces(odd.limit(0)).count() == 0
 
 
+def test_words_enter_a_kept_lattice_once(monkeypatch):
+    texts = [f"the thing {k % 3}{' ' * (k % 2)} and\n\nother é😀 \x1f▁ things" for k in range(40)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(40), pa.int64()), "text": pa.array(texts)})
+
+    def rows():
+        built, build = [], pieces.Lattice._build
+        with monkeypatch.context() as m:
+            m.setattr(pieces, "CHUNK", 100)
+            m.setattr(pieces.Lattice, "_build", lambda self, words: (built.extend(words), build(self, words)))
+            found = [r for b in pieces.segment(pieces.MODEL, 3)(iter([batch])) for r in b.to_pylist()]
+        return found, built
+
+    kept, words = rows()
+    assert len(kept) == 120 and len(words) == len(set(words))
+    monkeypatch.setattr(pieces, "HELD", 0)
+    again, words = rows()
+    assert len(words) > len(set(words))  # begun anew for each chunk
+    assert [(r["doc_id"], r["sample"], r["ids"]) for r in again] == [(r["doc_id"], r["sample"], r["ids"]) for r in kept]
+    for name in ("log_prob", "perturbed", "inclusion"):
+        assert [r[name] for r in again] == pytest.approx([r[name] for r in kept])
+
+
+def test_words_of_a_text_are_cut_before_blanks_and_at_line_ends():
+    draw = random.Random(3)
+    for _ in range(2000):
+        text = "".join(draw.choices("ab é\n\t\x1f\u2581", [4, 4, 5, 1, 2, 1, 0.3, 0.3], k=draw.randrange(1, 14)))
+        marked = pieces.BLANK + text.replace(" ", pieces.BLANK)
+        expected = re.findall(f"{pieces.BLANK}*[^{pieces.BLANK}\n]+|{pieces.BLANK}+|\n", marked)
+        assert [u.replace(" ", pieces.BLANK) for u in pieces.units(text)] == expected
+
+
+def test_ids_are_decoded_as_the_library_does(monkeypatch):
+    v, draw = pieces.shared_vocabulary(pieces.MODEL), random.Random(5)
+    plain, parts = list(v.ids.values()), list(v.bytes.values())
+    blanks, ascii_bytes = [i for p, i in v.ids.items() if p[0] == pieces.BLANK], [v.bytes[x] for x in range(128)]
+    pools = [plain, blanks, blanks[:9] + ascii_bytes, [v.ids[pieces.BLANK]] * 99 + ascii_bytes, parts, list(range(v.size))]
+    rows = [draw.choices(draw.choice(pools), k=draw.randrange(7)) for _ in range(3000)]
+    offsets = np.cumsum([0] + [len(r) for r in rows])
+    got = v.decode_all(np.array([i for r in rows for i in r], np.int32), offsets).to_pylist()
+    assert got == [v.decode(r) for r in rows]
+    monkeypatch.setattr(pieces.Vocabulary, "decode", None)  # plain pieces need no call a row
+    assert v.decode_all(np.array(blanks[:4], np.int32), np.array([0, 1, 1, 4])).to_pylist()[1] == ""
+
+
 # --- pipeline ----------------------------------------------------------------------------------
 
 def test_stages_match_brute_force(spark, documents, texts):
